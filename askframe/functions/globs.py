@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -82,22 +83,26 @@ class Glob:
 
     @property
     def anchors(self) -> list[str]:
-        """Short texts of one length that every match must contain, ends marked."""
+        """Texts of which every matching name contains all, its ends marked.
+
+        The whole marked name if the pattern is plain text, pieces of at most
+        ``ANCHOR_LENGTH`` characters otherwise, none if there is no plain text.
+        """
         if self.runs is None:
             return []
-        stretches = []
-        for at, run in enumerate(self.runs):
-            chars = [char for _, char in run]
-            chars = ([START] if at == 0 else []) + chars + ([END] if at == len(self.runs) - 1 else [])
-            stretches.append([])
-            for char in chars:
-                if char is None:
-                    stretches.append([])
-                else:
-                    stretches[-1].append(char)
-        stretches = ["".join(s) for s in stretches if s not in ([], [START], [END])]
-        size = min(ANCHOR_LENGTH, max(map(len, stretches), default=0))
-        return sorted({s[i : i + size] for s in stretches for i in range(len(s) - size + 1)} if size else set())
+        if self.literal is not None:
+            return [START + self.literal + END]
+        marked: list[str | None] = [START]
+        for run in self.runs:
+            marked += [char for _, char in run] + [None]
+        marked[-1] = END
+        pieces = set()
+        for plain, chars in groupby(marked, key=lambda char: char is not None):
+            text = "".join(chars) if plain else ""
+            if text not in ("", START, END):
+                size = min(ANCHOR_LENGTH, len(text))
+                pieces.update(text[at : at + size] for at in range(len(text) - size + 1))
+        return sorted(pieces)
 
 
 def _quote(char: str) -> str:

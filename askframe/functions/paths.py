@@ -12,25 +12,24 @@ def _unslashed(path: Column) -> Column:
     return F.rtrim(path, F.lit("/"))
 
 
+def _or_root(bare: Column, path: Column) -> Column:
+    """What is left of a path without its slashes, ``/`` if it had nothing else."""
+    return F.when((bare == "") & (path != ""), F.lit("/")).otherwise(bare)
+
+
 def clean_dir(path: Column) -> Column:
     """The path without trailing slashes; the root stays ``/``."""
-    bare = _unslashed(path)
-    return F.when((bare == "") & (path != ""), F.lit("/")).otherwise(bare)
+    return _or_root(_unslashed(path), path)
 
 
 def base_name(path: Column) -> Column:
-    bare = clean_dir(path)
-    return F.when(bare == "/", bare).otherwise(F.substring_index(bare, "/", -1))
+    return _or_root(F.substring_index(_unslashed(path), "/", -1), path)
 
 
 def dir_name(path: Column) -> Column:
-    bare = clean_dir(path)
-    head = F.substr(bare, F.lit(1), F.length(bare) - F.length(F.substring_index(bare, "/", -1)))
-    return (
-        F.when(bare == "/", bare)
-        .when(bare.contains("/"), clean_dir(head))
-        .when(bare.isNotNull(), F.lit("."))
-    )
+    bare = _unslashed(path)
+    head = F.left(bare, F.length(bare) - F.length(F.substring_index(bare, "/", -1)))
+    return F.when(bare.contains("/"), clean_dir(head)).when((bare == "") & (path != ""), F.lit("/")).when(path.isNotNull(), F.lit("."))
 
 
 def is_hidden(name: Column) -> Column:

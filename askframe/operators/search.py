@@ -3,9 +3,9 @@
 Up to ``ONE_SCAN`` distinct patterns are compiled into one aggregation over the
 names: one scan and one row per task to merge. More of them are joined:
 
-* plain names by equality;
-* patterns with some literal text by that text (an anchor), then verified, so
-  that a name meets only the patterns that share four characters with it;
+* patterns with some literal text by that text (their anchor), then verified, so
+  that a name meets only the patterns it shares an anchor with; the anchor of a
+  plain name is all of it;
 * patterns without any literal text, such as ``[0-4]??*``, in batches of
   ``ONE_SCAN``.
 """
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from askframe.functions.globs import END, START, is_pushable, matches, translate
 from askframe.functions.messages import FILE_FOUND, FILE_MISSING, fill
 from askframe.operators.presence import distinct_keys, fits_broadcast, lookup, mark_present, status_of
+from askframe.sources.storage import scratch_path
 
 ONE_SCAN = 64
 
@@ -79,35 +80,32 @@ def _match_in_one_scan(names: DataFrame, patterns: list[str]) -> DataFrame:
     return hits.select(F.explode(F.array_compact(F.array(*found))).alias("pattern"))
 
 
-DESCRIBED = "pattern string, literal string, regex string, anchors array<string>"
+DESCRIBED = "pattern string, regex string, whole boolean, anchors array<string>"
 
 
 def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The translator on a table: one call per distinct pattern, none per name."""
     for batch in batches:
-        globs = [translate(p) for p in batch["pattern"]]
+        globs = [glob for glob in map(translate, batch["pattern"]) if glob.runs is not None]
         yield pd.DataFrame(
             {
-                "pattern": batch["pattern"],
-                "literal": [g.literal for g in globs],
-                "regex": [None if g.runs is None else g.regex for g in globs],
-                "anchors": [g.anchors for g in globs],
+                "pattern": [glob.pattern for glob in globs],
+                "regex": [glob.regex for glob in globs],
+                "whole": [glob.literal is not None for glob in globs],
+                "anchors": [glob.anchors for glob in globs],
             }
         )
 
 
 def _match_by_join(names: DataFrame, wanted: DataFrame) -> DataFrame:
-    live = wanted.mapInPandas(_describe, DESCRIBED).where("regex is not null")
-    plain = live.where("literal is not null").select("pattern", F.col("literal").alias("name"))
-    globs = live.where("literal is null").drop("literal")
-    found = [
-        _match_plain(names, plain),
-        _match_anchored(names, globs.where(F.size("anchors") > 0)),
-        *(
-            _match_in_one_scan(names, batch)
-            for batch in _batches(globs.where(F.size("anchors") == 0).select("pattern"))
-        ),
-    ]
+    spark = wanted.sparkSession
+    # Read several times below: written once, translated once.
+    scratch = scratch_path(spark, "patterns")
+    wanted.mapInPandas(_describe, DESCRIBED).write.parquet(scratch)
+    described = spark.read.schema(DESCRIBED).parquet(scratch)
+    loose = described.where("size(anchors) = 0").select("pattern")
+    found = [_match_anchored(names, _rarest_anchor(described))]
+    found += [_match_in_one_scan(names, batch) for batch in _batches(loose)]
     return reduce(DataFrame.unionByName, found)
 
 
@@ -116,45 +114,38 @@ def _batches(patterns: DataFrame) -> Iterator[list[str]]:
         yield [row.pattern for row in rows]
 
 
-def _match_plain(names: DataFrame, plain: DataFrame) -> DataFrame:
-    # Two spellings (one quoted) can mean one name: the join side is `plain`.
-    if fits_broadcast(plain):
-        return names.join(F.broadcast(plain), "name").select("pattern").distinct()
-    return plain.join(names.distinct(), "name", "left_semi").select("pattern")
-
-
-def _match_anchored(names: DataFrame, globs: DataFrame) -> DataFrame:
-    keyed = _rarest_anchor(globs)
-    sizes = [row.size for row in keyed.select(F.length("anchor").alias("size")).distinct().collect()]
-    if not sizes:
-        return globs.select("pattern").where(F.lit(False))
+def _match_anchored(names: DataFrame, keyed: DataFrame) -> DataFrame:
+    sizes = keyed.where("not whole").select(F.length("anchor").alias("size")).distinct().collect()
     few = fits_broadcast(keyed)
     if not few:
         # Names have to be shuffled: let repeated ones travel once.
         names = names.distinct()
     marked = F.concat(F.lit(START), F.col("name"), F.lit(END))
-    parts = F.array_distinct(F.flatten(F.array(*[_pieces(marked, size) for size in sorted(sizes)])))
-    pieces = names.select("name", F.explode(parts).alias("anchor"))
+    keys = F.concat(F.array(marked), *[_pieces(marked, row["size"]) for row in sizes])
+    pieces = names.select("name", F.explode(F.array_distinct(keys)).alias("anchor"))
     candidates = pieces.join(F.broadcast(keyed) if few else keyed, "anchor")
-    return candidates.where(F.expr("name rlike regex")).select("pattern").distinct()
+    # Should a name hold the marks itself, a piece of it may look like another's whole.
+    is_name = F.length("anchor") == F.length("name") + len(START + END)
+    verified = F.when(F.col("whole"), is_name).otherwise(F.expr("name rlike regex"))
+    return candidates.where(verified).select("pattern").distinct()
 
 
 def _pieces(text: Column, size: int) -> Column:
-    """All stretches of ``size`` (at most ANCHOR_LENGTH) characters."""
+    """All stretches of ``size`` characters."""
     starts = F.sequence(F.lit(1), F.length(text) - (size - 1))
     cut = F.transform(starts, lambda at: F.substr(text, at, F.lit(size)))
     return F.when(F.length(text) >= size, cut).otherwise(F.array().cast("array<string>"))
 
 
-def _rarest_anchor(globs: DataFrame) -> DataFrame:
+def _rarest_anchor(described: DataFrame) -> DataFrame:
     """One anchor per pattern: the one that the fewest other patterns share.
 
     With ``a*.html`` and ``b*.html`` that is the start, not the common ending.
     """
-    each = globs.select("pattern", "regex", F.explode("anchors").alias("anchor"))
+    each = described.select("pattern", "regex", "whole", F.explode("anchors").alias("anchor"))
     shared = each.groupBy("anchor").agg(F.count("*").alias("users"))
     return (
         lookup(each, shared, "anchor")
-        .groupBy("pattern")
-        .agg(F.min_by("anchor", F.struct("users", "anchor")).alias("anchor"), F.first("regex").alias("regex"))
+        .groupBy("pattern", "regex", "whole")
+        .agg(F.min_by("anchor", F.struct("users", -F.length("anchor"), "anchor")).alias("anchor"))
     )

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int = 8, memory: str = "8g", name: str = "askframe") -> SparkSession:
-    spark = (
+def local_session(cores: int = 8, memory: str = "8g", name: str = "askframe", shared: str | None = None) -> SparkSession:
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.driver.memory", memory)
@@ -14,7 +14,9 @@ def local_session(cores: int = 8, memory: str = "8g", name: str = "askframe") ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

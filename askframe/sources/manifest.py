@@ -37,16 +37,16 @@ def manifest_from_paths(paths: DataFrame, path: str = "path", kind: str | None =
 
     Columns of the inventory called ``length`` and ``modified`` are taken over.
     """
-    clean = clean_dir(F.col(path))
+    whole = F.col(path)
 
     def given(column: str, type_: str):
         value = F.col(column) if column in paths.columns else F.lit(None)
         return value.cast(type_).alias(column)
 
     return paths.select(
-        clean.alias("path"),
-        dir_name(clean).alias("parent"),
-        base_name(clean).alias("name"),
+        clean_dir(whole).alias("path"),
+        dir_name(whole).alias("parent"),
+        base_name(whole).alias("name"),
         (F.col(kind) if kind else F.lit("file")).alias("kind"),
         given("length", "bigint"),
         given("modified", "timestamp"),

@@ -1,0 +1,137 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from askframe.operators.snapshot import plan_snapshots, report_snapshots
+from askframe.sources.datasets import (
+    backup_datasets,
+    copy_dataset,
+    partition_columns,
+    read_snapshots,
+    snapshot_dataset,
+    write_snapshots,
+)
+
+DAY = date(2024, 2, 29)
+
+
+def records(spark):
+    """A third of the records belong to one source; one is called like a number."""
+    source = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, "007").otherwise("c/d e")
+    return spark.range(3000).select("id", source.alias("source"))
+
+
+@pytest.mark.parametrize("bounded", [True, False])
+def test_plan(spark, bounded, request):
+    if not bounded:
+        request.getfixturevalue("nothing_fits")
+    asked = ["hot", "hot/", "nope", "", None, "c/d e"]
+    rows = [(i, dir, DAY) for i, dir in enumerate(asked)] + [(6, "hot", None)]
+    requests = spark.createDataFrame(rows, "request_id int, dir string, day date")
+    known = records(spark).select(F.col("source").alias("dir"))
+    answers = sorted(report_snapshots(plan_snapshots(requests, known)).collect())
+    assert [(a.archive_name, a.status, a.message) for a in answers] == [
+        ("hot_2024-02-29.tar.gz", "ok", "Архив создан: hot_2024-02-29.tar.gz"),
+        ("hot_2024-02-29.tar.gz", "ok", "Архив создан: hot_2024-02-29.tar.gz"),
+        (None, "not_found", "Дирректория 'nope' не найдена!"),
+        (None, "not_found", "Дирректория '' не найдена!"),
+        (None, "no_request", None),
+        ("d e_2024-02-29.tar.gz", "ok", "Архив создан: d e_2024-02-29.tar.gz"),
+        (None, "no_request", None),
+    ]
+
+
+@pytest.mark.parametrize("bounded", [True, False])
+def test_snapshots(spark, tmp_path, bounded, request):
+    table = records(spark)
+    if not bounded:
+        request.getfixturevalue("nothing_fits")
+    out = str(tmp_path / "out")
+    rows = [("hot/", DAY), ("hot", date(2024, 3, 1)), ("007", DAY), ("c/d e", DAY), ("nope", DAY)]
+    requests = spark.createDataFrame(rows, "source string, day date")
+    write_snapshots(table, plan_snapshots(requests, table, "source"), out)
+
+    def counts():
+        rows = read_snapshots(spark, out, table).groupBy("source", "snapshot_date").count().collect()
+        return {(r.source, r.snapshot_date): r["count"] for r in rows}
+
+    before = counts()
+    assert before == {("hot", DAY): 1000, ("hot", date(2024, 3, 1)): 1000, ("007", DAY): 1000, ("c/d e", DAY): 1000}
+    # The same day again replaces that snapshot and no other.
+    again = spark.createDataFrame([("007", DAY)], "source string, day date")
+    less = table.where("id < 100")
+    write_snapshots(less, plan_snapshots(again, less, "source"), out)
+    assert counts() == before | {("007", DAY): 33}
+    assert all(f.endswith(".gz.parquet") for f in spark.read.parquet(out).inputFiles())
+
+
+def test_hot_source_is_split(spark, tmp_path):
+    out = str(tmp_path / "out")
+    table = spark.range(400_000).select("id", F.lit("hot").alias("source"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    requests = spark.createDataFrame([("hot", DAY)], "source string, day date")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4MB")
+    try:
+        write_snapshots(table, plan_snapshots(requests, table, "source"), out)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = read_snapshots(spark, out, table)
+    assert len(written.inputFiles()) > 2
+    assert written.count() == 400_000
+
+
+def test_dataset_snapshot(spark, tmp_path):
+    source = str(tmp_path / "data")
+    spark.range(10).write.parquet(source)
+    out = str(tmp_path / "out")
+    target = snapshot_dataset(spark, source + "/", out, DAY)
+    assert target == f"{out}/data_2024-02-29"
+    spark.range(5).write.mode("overwrite").parquet(source)
+    assert snapshot_dataset(spark, source, out, DAY) == target
+    assert spark.read.parquet(target).count() == 5
+    assert snapshot_dataset(spark, str(tmp_path / "nope"), out, DAY) is None
+    assert snapshot_dataset(spark, "", out, DAY) is None
+
+
+def test_overlap_is_refused(spark, tmp_path):
+    source = str(tmp_path / "data")
+    spark.range(3).write.parquet(source)
+    for target in (source, source + "/", source + "/inside", f"file://{source}", str(tmp_path)):
+        with pytest.raises(ValueError):
+            copy_dataset(spark, source, target)
+    assert spark.read.parquet(source).count() == 3
+
+
+def test_partitioned_copy_keeps_its_directories(spark, tmp_path):
+    source, target = str(tmp_path / "data"), str(tmp_path / "copy")
+    rows = [(1, "01", "a b"), (2, "1", "x/y"), (3, "1", None)]
+    spark.createDataFrame(rows, "id int, day string, tag string").write.partitionBy("day", "tag").parquet(source)
+    assert partition_columns(spark, source) == ["day", "tag"]
+    copy_dataset(spark, source, target)
+
+    def directories(root):
+        return sorted(str(p.relative_to(root)) for p in root.glob("*/*") if p.is_dir())
+
+    assert directories(tmp_path / "copy") == directories(tmp_path / "data")
+    assert spark.read.parquet(target).count() == 3
+
+
+def test_backups_of_datasets(spark, tmp_path):
+    """Two runs with a change in between; names on either side of the prefix."""
+    home = tmp_path / "home"
+    for name in ("Upper", "lower", ".hidden"):
+        spark.range(1).write.parquet(str(home / name))
+    assert [t.rsplit("/", 1)[1] for t in backup_datasets(spark, str(home))] == ["backup_Upper", "backup_lower"]
+    for name in ("Upper", "lower"):
+        spark.range(2).write.mode("overwrite").parquet(str(home / name))
+    backup_datasets(spark, str(home))
+    sizes = {p.name: spark.read.parquet(str(p)).count() for p in home.iterdir() if p.name != ".hidden"}
+    assert sizes == {
+        "Upper": 2,
+        "backup_Upper": 2,
+        "backup_backup_Upper": 2,
+        "lower": 2,
+        "backup_lower": 2,
+        "backup_backup_lower": 1,
+    }
+    assert backup_datasets(spark, str(tmp_path / "nope")) is None
