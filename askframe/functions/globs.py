@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 from itertools import groupby
 
 from pyspark.sql import Column
@@ -42,7 +43,8 @@ NAMED_SETS = {
 
 # Stand for the two ends of a name in anchors.
 START, END = "\x02", "\x03"
-ANCHOR_LENGTH = 4
+END_LENGTH = 8
+INNER_LENGTH = 4
 
 
 @dataclass(frozen=True)
@@ -81,27 +83,36 @@ class Glob:
         inner = "".join(f"(?>.*?{run})" for run in rest[:-1] if run)
         return rf"(?s)\A{first}{inner}" + (rf".*{rest[-1]}\z" if rest[-1] else "")
 
+    @property
+    def stretches(self) -> tuple[str, str, list[str]]:
+        """The plain text every match begins with, ends with, and contains in between."""
+        pieces: list[str | None] = [""]
+        for run in self.runs or []:
+            pieces += [char for _, char in run] + [None]
+        pieces[-1] = ""
+        texts = ["".join(chars) for plain, chars in groupby(pieces, key=lambda char: char is not None) if plain]
+        return texts[0], texts[-1], [text for text in texts[1:-1] if text]
+
     @property
     def anchors(self) -> list[str]:
-        """Texts of which every matching name contains all, its ends marked.
+        """Texts to find the pattern by: every matching name contains all of them.
 
-        The whole marked name if the pattern is plain text, pieces of at most
-        ``ANCHOR_LENGTH`` characters otherwise, none if there is no plain text.
+        The start and the end of a name are marked. Of a pattern that is plain
+        text it is the whole of it, otherwise a few characters each. None if there
+        is no plain text, or if it could be taken for the marks.
         """
         if self.runs is None:
             return []
         if self.literal is not None:
             return [START + self.literal + END]
-        marked: list[str | None] = [START]
-        for run in self.runs:
-            marked += [char for _, char in run] + [None]
-        marked[-1] = END
-        pieces = set()
-        for plain, chars in groupby(marked, key=lambda char: char is not None):
-            text = "".join(chars) if plain else ""
-            if text not in ("", START, END):
-                size = min(ANCHOR_LENGTH, len(text))
-                pieces.update(text[at : at + size] for at in range(len(text) - size + 1))
+        start, end, inner = self.stretches
+        if START in self.pattern or END in self.pattern:
+            return []
+        pieces = {text[at : at + INNER_LENGTH] for text in inner for at in range(max(1, len(text) - INNER_LENGTH + 1))}
+        if start:
+            pieces.add(START + start[:END_LENGTH])
+        if end:
+            pieces.add(end[-END_LENGTH:] + END)
         return sorted(pieces)
 
 
@@ -157,7 +168,7 @@ def matches(name: Column, pattern: str) -> Column:
         return F.lit(False)
     texts = glob.texts
     if texts is None or len(texts) > 3 or (len(texts) == 3 and (texts[0] or texts[2])):
-        return name.rlike(glob.regex)
+        return _plain_parts(name, glob) & name.rlike(glob.regex)
     if len(texts) == 1:
         return name == texts[0]
     if len(texts) == 3:
@@ -170,6 +181,19 @@ def matches(name: Column, pattern: str) -> Column:
     return name.endswith(end) if end else name.isNotNull()
 
 
+def _plain_parts(name: Column, glob: Glob) -> Column:
+    """Plain comparisons that spare most names the regular expression."""
+    start, end, inner = glob.stretches
+    tests = [F.lit(True)]
+    if start:
+        tests.append(name.startswith(start))
+    if end:
+        tests.append(name.endswith(end))
+    if inner:
+        tests.append(name.contains(max(inner, key=len)))
+    return reduce(Column.__and__, tests)
+
+
 def is_pushable(pattern: str) -> bool:
     """Whether ``matches`` turns into a filter the parquet scan can use."""
     texts = translate(pattern).texts

@@ -4,15 +4,15 @@ Up to ``ONE_SCAN`` distinct patterns are compiled into one aggregation over the
 names: one scan and one row per task to merge. More of them are joined:
 
 * patterns with some literal text by that text (their anchor), then verified, so
-  that a name meets only the patterns it shares an anchor with; the anchor of a
-  plain name is all of it;
+  that a name meets only the patterns it shares an anchor with: all of a plain
+  name, a start or an end, or else a few characters anywhere;
 * patterns without any literal text, such as ``[0-4]??*``, in batches of
   ``ONE_SCAN``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import batched
 
@@ -80,18 +80,22 @@ def _match_in_one_scan(names: DataFrame, patterns: list[str]) -> DataFrame:
     return hits.select(F.explode(F.array_compact(F.array(*found))).alias("pattern"))
 
 
-DESCRIBED = "pattern string, regex string, whole boolean, anchors array<string>"
+DESCRIBED = "pattern string, regex string, whole boolean, start string, end string, anchors array<string>"
 
 
 def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The translator on a table: one call per distinct pattern, none per name."""
     for batch in batches:
         globs = [glob for glob in map(translate, batch["pattern"]) if glob.runs is not None]
+        if not globs:
+            continue
         yield pd.DataFrame(
             {
                 "pattern": [glob.pattern for glob in globs],
                 "regex": [glob.regex for glob in globs],
                 "whole": [glob.literal is not None for glob in globs],
+                "start": [glob.stretches[0] for glob in globs],
+                "end": [glob.stretches[1] for glob in globs],
                 "anchors": [glob.anchors for glob in globs],
             }
         )
@@ -103,10 +107,11 @@ def _match_by_join(names: DataFrame, wanted: DataFrame) -> DataFrame:
     scratch = scratch_path(spark, "patterns")
     wanted.mapInPandas(_describe, DESCRIBED).write.parquet(scratch)
     described = spark.read.schema(DESCRIBED).parquet(scratch)
+    keyed = _rarest_anchor(described)
+    found = [_match_by_ends(names, keyed.where("not inner")), _match_by_inner_text(names, keyed.where("inner"))]
     loose = described.where("size(anchors) = 0").select("pattern")
-    found = [_match_anchored(names, _rarest_anchor(described))]
     found += [_match_in_one_scan(names, batch) for batch in _batches(loose)]
-    return reduce(DataFrame.unionByName, found)
+    return reduce(DataFrame.unionByName, [part for part in found if part is not None])
 
 
 def _batches(patterns: DataFrame) -> Iterator[list[str]]:
@@ -114,38 +119,62 @@ def _batches(patterns: DataFrame) -> Iterator[list[str]]:
         yield [row.pattern for row in rows]
 
 
-def _match_anchored(names: DataFrame, keyed: DataFrame) -> DataFrame:
-    sizes = keyed.where("not whole").select(F.length("anchor").alias("size")).distinct().collect()
-    few = fits_broadcast(keyed)
-    if not few:
-        # Names have to be shuffled: let repeated ones travel once.
-        names = names.distinct()
-    marked = F.concat(F.lit(START), F.col("name"), F.lit(END))
-    keys = F.concat(F.array(marked), *[_pieces(marked, row["size"]) for row in sizes])
-    pieces = names.select("name", F.explode(F.array_distinct(keys)).alias("anchor"))
-    candidates = pieces.join(F.broadcast(keyed) if few else keyed, "anchor")
-    # Should a name hold the marks itself, a piece of it may look like another's whole.
-    is_name = F.length("anchor") == F.length("name") + len(START + END)
-    verified = F.when(F.col("whole"), is_name).otherwise(F.expr("name rlike regex"))
-    return candidates.where(verified).select("pattern").distinct()
+def _match_by_ends(names: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Patterns found by the whole, the start or the end of a name."""
+    text = F.concat(F.lit(START), F.col("name"), F.lit(END))
+    shape = F.col("anchor").startswith(START).alias("at_start"), F.length("anchor").alias("size")
+    cuts = [
+        (F.left if row.at_start else F.right)(text, F.lit(row.size))
+        for row in keyed.where("not whole").select(*shape).distinct().collect()
+    ]
+    return _verified(names, keyed, lambda some: some.select("name", F.explode(F.array(text, *cuts)).alias("anchor")))
+
+
+def _match_by_inner_text(names: DataFrame, keyed: DataFrame) -> DataFrame | None:
+    """Patterns found by a text anywhere in a name."""
+    sizes = [row["size"] for row in keyed.select(F.length("anchor").alias("size")).distinct().collect()]
+    if not sizes:
+        return None
+
+    def cut(some: DataFrame) -> DataFrame:
+        sized = some.select("name", F.explode(F.array(*map(F.lit, sizes))).alias("size"))
+        placed = sized.where(F.length("name") >= F.col("size")).select(
+            "name", "size", F.explode(F.sequence(F.lit(1), F.length("name") - F.col("size") + 1)).alias("at")
+        )
+        return placed.select("name", F.substr("name", "at", "size").alias("anchor"))
 
+    return _verified(names, keyed, cut)
 
-def _pieces(text: Column, size: int) -> Column:
-    """All stretches of ``size`` characters."""
-    starts = F.sequence(F.lit(1), F.length(text) - (size - 1))
-    cut = F.transform(starts, lambda at: F.substr(text, at, F.lit(size)))
-    return F.when(F.length(text) >= size, cut).otherwise(F.array().cast("array<string>"))
+
+def _verified(names: DataFrame, keyed: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The patterns that match a name they share an anchor with."""
+    if fits_broadcast(keyed):
+        candidates = cut(names).join(F.broadcast(keyed), "anchor")
+    else:
+        # Names have to be shuffled: let repeated ones travel once.
+        candidates = cut(names.distinct()).join(keyed, "anchor")
+    # Should a name hold the marks itself, its start may look like another's whole.
+    is_name = F.length("anchor") == F.length("name") + len(START + END)
+    is_match = F.col("name").startswith(F.col("start")) & F.col("name").endswith(F.col("end")) & F.expr("name rlike regex")
+    return candidates.where(F.when(F.col("whole"), is_name).otherwise(is_match)).select("pattern").distinct()
 
 
 def _rarest_anchor(described: DataFrame) -> DataFrame:
     """One anchor per pattern: the one that the fewest other patterns share.
 
     With ``a*.html`` and ``b*.html`` that is the start, not the common ending.
+    Among equals the ends of a name come first: there is one of each, where inner
+    texts are looked for at every place.
     """
-    each = described.select("pattern", "regex", "whole", F.explode("anchors").alias("anchor"))
+    each = described.select(
+        "pattern", F.struct("regex", "whole", "start", "end").alias("glob"), F.explode("anchors").alias("anchor")
+    )
+    each = each.withColumn("inner", ~F.col("anchor").startswith(START) & ~F.col("anchor").endswith(END))
     shared = each.groupBy("anchor").agg(F.count("*").alias("users"))
+    ranking = F.struct("users", "inner", -F.length("anchor"), "anchor")
     return (
         lookup(each, shared, "anchor")
-        .groupBy("pattern", "regex", "whole")
-        .agg(F.min_by("anchor", F.struct("users", -F.length("anchor"), "anchor")).alias("anchor"))
+        .groupBy("pattern")
+        .agg(F.min_by(F.struct("anchor", "inner", "glob"), ranking).alias("best"))
+        .select("pattern", "best.anchor", "best.inner", "best.glob.*")
     )

@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from askframe.functions.messages import BACKUP_PREFIX
 from askframe.functions.paths import clean_dir
 from askframe.operators.presence import lookup
-from askframe.sources.storage import child_dirs, path_exists, refuse_overlap
+from askframe.sources.storage import children, path_exists, refuse_overlap
 
 CODEC = "gzip"
 WRITERS = 8
@@ -55,7 +55,7 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
     """The columns that ``name=value`` directories stand for; looks at one branch."""
     names = []
     while True:
-        step = next((c for c in child_dirs(spark, path) if "=" in c and c[0] not in "._"), None)
+        step = next((c for c, is_dir in children(spark, path) if is_dir and "=" in c and c[0] not in "._"), None)
         if step is None:
             return names
         names.append(step.split("=", 1)[0])
@@ -102,8 +102,9 @@ def backup_datasets(spark: SparkSession, directory: str, format: str = "parquet"
     if not path_exists(spark, directory):
         return None
     families: dict[str, list[str]] = {}
-    for name in child_dirs(spark, directory):
-        if name[0] != ".":
+    for name, is_dir in children(spark, directory):
+        # A file may be a dataset too, but not a marker such as _SUCCESS.
+        if name[0] != "." and (is_dir or name[0] != "_"):
             root = name
             while root.startswith(prefix):
                 root = root.removeprefix(prefix)

@@ -93,7 +93,8 @@ def _list_directories(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
                 if len(rows) == LISTED_ROWS:
                     yield pd.DataFrame(rows, columns=columns)
                     rows = []
-    yield pd.DataFrame(rows, columns=columns)
+    if rows:
+        yield pd.DataFrame(rows, columns=columns)
 
 
 def _list_one(directory: str) -> Iterator[tuple]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -24,14 +25,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(qualified)
 
 
-def child_dirs(spark: SparkSession, path: str):
-    """Names of the directories one level below, one at a time."""
+def children(spark: SparkSession, path: str) -> Iterator[tuple[str, bool]]:
+    """Names one level below and whether they are directories, one at a time."""
     qualified, system = hadoop_path(spark, path)
-    children = system.listStatusIterator(qualified)
-    while children.hasNext():
-        child = children.next()
-        if child.isDirectory():
-            yield child.getPath().getName()
+    found = system.listStatusIterator(qualified)
+    while found.hasNext():
+        child = found.next()
+        yield child.getPath().getName(), child.isDirectory()
 
 
 def refuse_overlap(spark: SparkSession, source: str, target: str) -> None:

@@ -17,8 +17,8 @@ def one_run(directory, sources=None):
     return after
 
 
-def test_known_directory(spark):
-    names = ["script1.sh", "script2.sh", "script3.sh", "script4.sh", "script5.sh", "sh"]
+def test_first_run(spark):
+    names = ["greet.sh", "search.sh", "notes.txt", "a b", "_private", "log"]
     entries = spark.createDataFrame([(n, n.upper()) for n in names], "name string, content string")
     after = {row.name: row.content for row in after_backup(entries).collect()}
     assert len(after) == 12

@@ -135,3 +135,14 @@ def test_backups_of_datasets(spark, tmp_path):
         "backup_backup_lower": 1,
     }
     assert backup_datasets(spark, str(tmp_path / "nope")) is None
+
+
+def test_files_are_datasets_too(spark, tmp_path):
+    home = tmp_path / "home"
+    spark.range(4).coalesce(1).write.parquet(str(home / "_odd"))
+    part = next((home / "_odd").glob("*.parquet"))
+    (home / "one.parquet").write_bytes(part.read_bytes())
+    (home / "_SUCCESS").touch()
+    assert [t.rsplit("/", 1)[1] for t in backup_datasets(spark, str(home))] == ["backup__odd", "backup_one.parquet"]
+    assert spark.read.parquet(str(home / "backup_one.parquet")).count() == 4
+    assert spark.read.parquet(str(home / "backup__odd")).count() == 4

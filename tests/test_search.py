@@ -113,14 +113,16 @@ def test_one_scan_and_join_agree_on_the_cases(spark, monkeypatch):
 def test_names_with_marks(spark, monkeypatch):
     monkeypatch.setattr(searching, "ONE_SCAN", 1)
     names = spark.createDataFrame([("x\x02ab\x03y",), ("cd",)], "name string")
-    requests = spark.createDataFrame([("ab",), ("ab*",), ("*ab",), ("*ab*",), ("cd",)], "pattern string")
-    assert sorted(row.pattern for row in found_patterns(requests, names).collect()) == ["*ab*", "cd"]
+    requests = spark.createDataFrame([("ab",), ("ab*",), ("*ab",), ("*ab*",), ("*\x02a*",), ("cd",)], "pattern string")
+    assert sorted(row.pattern for row in found_patterns(requests, names).collect()) == ["*\x02a*", "*ab*", "cd"]
 
 
 def test_anchors():
     assert translate("readme").anchors == ["\x02readme\x03"]
-    assert translate("a*.html").anchors == ["\x02a", ".htm", "html", "tml\x03"]
+    assert translate("a*.html").anchors == ["\x02a", ".html\x03"]
+    assert translate("x?*middle*[0-9]").anchors == ["\x02x", "ddle", "iddl", "midd"]
     assert translate("*x?").anchors == ["x"]
+    assert translate("*\x02*").anchors == []
     assert translate("[0-4]??*").anchors == translate("*").anchors == translate("").anchors == []
 
 
@@ -134,6 +136,13 @@ def test_answers(spark):
     assert rows[3].message is None and rows[3].found is False
 
 
+def test_only_impossible_patterns(spark, monkeypatch):
+    monkeypatch.setattr(searching, "ONE_SCAN", 1)
+    names = spark.createDataFrame([("a",)], "name string")
+    requests = spark.createDataFrame([("",), ("a\\",)], "pattern string")
+    assert [row.found for row in search(requests, names).collect()] == [False, False]
+
+
 def test_no_requests(spark):
     names = spark.createDataFrame([("a",)], "name string")
     requests = spark.createDataFrame([], "pattern string")
