@@ -62,6 +62,7 @@ UNION ALL SELECT name, content FROM copies"""
 ORACLES: dict[str, str] = {
     "next_year_greeting": GREETING,
     "greeting_stream": GREETING,
+    "greeting_files": f"SELECT message FROM ({GREETING})",
     "greeting_bad_age": """
 SELECT p_partkey, split_part(line, ' ', 1) AS name, substr(line, strpos(line, ' ') + 1) AS age_text,
        TRY_CAST(substr(line, strpos(line, ' ') + 1) AS BIGINT) AS age

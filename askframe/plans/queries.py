@@ -17,6 +17,7 @@ from askframe.operators.search import found_patterns, search
 from askframe.operators.snapshot import plan_snapshots, report_snapshots
 from askframe.sources.datasets import backup_datasets, read_snapshots, snapshot_dataset, write_snapshots
 from askframe.sources.manifest import files, list_tree, manifest_from_paths, visible_entries
+from askframe.sources.requests import read_requests, write_messages
 from askframe.sources.storage import scratch_path
 from askframe.sources.text_files import answer_line_counts, count_files
 from askframe.streaming.answers import answer_stream
@@ -59,6 +60,14 @@ def greeting_bad_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_fields(table(spark, sf_dir, "part").select("p_partkey", line))
 
 
+def greeting_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests and answers as lines of files."""
+    asked, said = scratch_path(spark, "asked"), scratch_path(spark, "said")
+    greeting_lines(spark, sf_dir).select("line").write.text(asked)
+    write_messages(greet(read_requests(spark, asked)), said)
+    return spark.read.text(said).withColumnRenamed("value", "message")
+
+
 def greeting_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The greetings again, from a stream of requests."""
     customer = table(spark, sf_dir, "customer")
@@ -278,6 +287,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         next_year_greeting,
         greeting_bad_age,
+        greeting_files,
         greeting_stream,
         find_name_exists,
         find_name_matches,

@@ -18,13 +18,17 @@ CODEC = "gzip"
 WRITERS = 8
 
 
-def write_snapshots(records: DataFrame, planned: DataFrame, out: str, key: str = "source", day: str = "day") -> None:
+def write_snapshots(
+    records: DataFrame, planned: DataFrame, out: str, key: str = "source", day: str = "day", clustered: bool = False
+) -> None:
     """One dated, compressed snapshot per accepted request, in a single job.
 
     ``records`` holds all sources, told apart by ``key``. Every accepted (source,
     day) becomes ``out/<key>=.../snapshot_date=...``; only the snapshots in this
     run are replaced, the others under ``out`` stay. A source of any size is
     split over tasks: rebalancing divides large partitions and joins small ones.
+    ``clustered`` states that the records of a source lie together already, which
+    saves that shuffle.
     """
     accepted = planned.where("status = 'ok'").select(
         clean_dir(F.col(key)).alias(key), F.col(day).cast("date").alias("snapshot_date")
@@ -32,9 +36,11 @@ def write_snapshots(records: DataFrame, planned: DataFrame, out: str, key: str =
     days = accepted.groupBy(key).agg(F.collect_set("snapshot_date").alias("_days"))
     dated = lookup(records, days, key).where("_days is not null")
     dated = dated.withColumn("snapshot_date", F.explode("_days")).drop("_days")
+    if not clustered:
+        # Without it, every task would leave a small file for every source it met.
+        dated = dated.hint("rebalance", F.col(key), F.col("snapshot_date"))
     (
-        dated.hint("rebalance", F.col(key), F.col("snapshot_date"))
-        .write.mode("overwrite")
+        dated.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", CODEC)
         .partitionBy(key, "snapshot_date")

@@ -61,7 +61,7 @@ def test_snapshots(spark, tmp_path, bounded, request):
     # The same day again replaces that snapshot and no other.
     again = spark.createDataFrame([("007", DAY)], "source string, day date")
     less = table.where("id < 100")
-    write_snapshots(less, plan_snapshots(again, less, "source"), out)
+    write_snapshots(less, plan_snapshots(again, less, "source"), out, clustered=True)
     assert counts() == before | {("007", DAY): 33}
     assert all(f.endswith(".gz.parquet") for f in spark.read.parquet(out).inputFiles())
 

@@ -1,5 +1,6 @@
 from askframe.operators.greeting import greet
 from askframe.operators.search import search
+from askframe.sources.requests import read_requests, stream_requests, write_messages
 from askframe.streaming.answers import answer_stream
 
 
@@ -22,6 +23,20 @@ def test_greetings_arrive_once(spark, tmp_path):
     assert run() == [("Ann", "ok"), ("Bob", "bad_age"), ("Cid", "ok")]
 
 
+def test_lines_of_files(spark, tmp_path):
+    asked, out, checkpoint = (str(tmp_path / d) for d in ("asked", "out", "checkpoint"))
+    (tmp_path / "asked").mkdir()
+    (tmp_path / "asked" / "one").write_bytes("Ann 25\n\r\nBob\t\n".encode())
+    batch = read_requests(spark, asked).collect()
+    assert [r.line for r in batch] == ["Ann 25", "\r", "Bob\t"] and len({r.request_id for r in batch}) == 3
+    answer_stream(stream_requests(spark, asked), greet, out, checkpoint, once=True).awaitTermination()
+    answers = spark.read.parquet(out)
+    assert {(r.name, r.age_text) for r in answers.collect()} == {("Ann", "25"), ("Bob", None), ("\r", None)}
+    write_messages(answers, str(tmp_path / "said"))
+    said = spark.read.text(str(tmp_path / "said")).collect()
+    assert [r.value for r in said] == ["Привет, Ann! Через год тебе будет 26 лет."]
+
+
 def test_searches_against_a_table(spark, tmp_path):
     arriving, out, checkpoint = (str(tmp_path / d) for d in ("in", "out", "checkpoint"))
     spark.createDataFrame([("*.txt",), ("x",)], "pattern string").write.parquet(arriving)
