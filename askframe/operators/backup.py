@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from askframe.functions.messages import BACKUP_DIR_MISSING, BACKUP_PREFIX, fill
 from askframe.functions.paths import backup_name, clean_dir, is_hidden
-from askframe.operators.presence import check_presence, distinct_keys, mark_present, status_of
+from askframe.operators.presence import check_presence, distinct_keys, keep_wanted, status_of
 
 
 def is_source(name: Column, kind: Column | None = None) -> Column:
@@ -108,5 +108,4 @@ def run_backups(requests: DataFrame, manifest: DataFrame, dir: str = "dir", reru
     content: copies point at the entry they were made from.
     """
     wanted = distinct_keys(requests.select(clean_dir(F.col(dir)).alias("parent")), "parent")
-    entries = mark_present(manifest, wanted, "parent", "_wanted").where("_wanted").drop("_wanted")
-    return after_backup(entries, within="parent", rerun=rerun)
+    return after_backup(keep_wanted(manifest, wanted, "parent"), within="parent", rerun=rerun)

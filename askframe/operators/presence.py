@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
+FEW_KEYS = 64
 HOT_SHARE = 1_000  # a key is hot with more than 1/1000 of the rows: at most 999 are
 
 
@@ -59,17 +60,34 @@ def distinct_keys(table: DataFrame, key: str) -> DataFrame:
 def check_presence(requests: DataFrame, known: DataFrame, key: str, flag: str = "present") -> DataFrame:
     """Every request plus a boolean: does its ``key`` occur in ``known``?
 
-    ``known`` may be huge and repeat its keys at will: with few distinct
-    requested keys it is only filtered, otherwise each key crosses the shuffle
-    once per task that saw it.
+    ``known`` may be huge and repeat its keys at will: it is filtered by the
+    requested keys while there are not too many of those, and each key crosses
+    the shuffle once per task that saw it.
     """
     wanted = distinct_keys(requests, key)
-    few = fits_broadcast(wanted)
-    if few:
+    values = few_keys(wanted, key)
+    small = values is not None or fits_broadcast(wanted)
+    if values is not None:
+        found = distinct_keys(known.where(F.col(key).isin(values)), key)
+    elif small:
         found = known.select(key).join(F.broadcast(wanted), key, "left_semi").distinct()
     else:
         found = distinct_keys(known, key).join(wanted, key, "left_semi")
-    return mark_present(requests, found, key, flag, small=few)
+    return mark_present(requests, found, key, flag, small)
+
+
+def keep_wanted(table: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` is one of the (distinct) ``wanted``."""
+    values = few_keys(wanted, key)
+    if values is not None:
+        return table.where(F.col(key).isin(values))
+    return mark_present(table, wanted, key, "_wanted").where("_wanted").drop("_wanted")
+
+
+def few_keys(keys: DataFrame, key: str) -> list | None:
+    """The keys themselves if there are few: as constants they reach the scan."""
+    rows = keys.select(key).limit(FEW_KEYS + 1).collect()
+    return [row[0] for row in rows] if len(rows) <= FEW_KEYS else None
 
 
 def present(requests: DataFrame, known: DataFrame, key: str) -> DataFrame:

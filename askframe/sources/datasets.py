@@ -11,7 +11,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from askframe.functions.messages import BACKUP_PREFIX
 from askframe.functions.paths import clean_dir
-from askframe.operators.presence import lookup
+from askframe.operators.presence import few_keys, lookup
+from askframe.operators.snapshot import plan_snapshots, report_snapshots
 from askframe.sources.storage import children, path_exists, refuse_overlap
 
 CODEC = "gzip"
@@ -19,21 +20,23 @@ WRITERS = 8
 
 
 def write_snapshots(
-    records: DataFrame, planned: DataFrame, out: str, key: str = "source", day: str = "day", clustered: bool = False
+    records: DataFrame, requests: DataFrame, out: str, key: str = "source", day: str = "day", clustered: bool = False
 ) -> None:
-    """One dated, compressed snapshot per accepted request, in a single job.
+    """One dated, compressed snapshot per request for a known source, in a single job.
 
-    ``records`` holds all sources, told apart by ``key``. Every accepted (source,
-    day) becomes ``out/<key>=.../snapshot_date=...``; only the snapshots in this
+    ``records`` holds all sources, told apart by ``key``, and is read once: a
+    request for anything else finds no records. Every requested (source, day)
+    becomes ``out/<key>=.../snapshot_date=...``; only the snapshots in this
     run are replaced, the others under ``out`` stay. A source of any size is
     split over tasks: rebalancing divides large partitions and joins small ones.
     ``clustered`` states that the records of a source lie together already, which
     saves that shuffle.
     """
-    accepted = planned.where("status = 'ok'").select(
-        clean_dir(F.col(key)).alias(key), F.col(day).cast("date").alias("snapshot_date")
-    )
-    days = accepted.groupBy(key).agg(F.collect_set("snapshot_date").alias("_days"))
+    asked = requests.select(clean_dir(F.col(key)).alias(key), F.col(day).cast("date").alias("snapshot_date"))
+    days = asked.where((F.col(key) != "") & F.col("snapshot_date").isNotNull()).groupBy(key).agg(F.collect_set("snapshot_date").alias("_days"))
+    values = few_keys(days, key)
+    if values is not None:
+        records = records.where(F.col(key).isin(values))
     dated = lookup(records, days, key).where("_days is not null")
     dated = dated.withColumn("snapshot_date", F.explode("_days")).drop("_days")
     if not clustered:
@@ -48,6 +51,12 @@ def write_snapshots(
     )
 
 
+def take_snapshots(records: DataFrame, requests: DataFrame, out: str, key: str = "source", day: str = "day") -> DataFrame:
+    """Writes the snapshots and answers the requests, success only after the commit."""
+    write_snapshots(records, requests, out, key, day)
+    return report_snapshots(plan_snapshots(requests, records, key, day), key)
+
+
 def read_snapshots(spark: SparkSession, out: str, records: DataFrame) -> DataFrame:
     """The snapshots under ``out``, with the types of the ``records`` they hold.
 

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askframe.operators.presence import distinct_keys, fits_broadcast, lookup, status_of
+from askframe.operators.presence import distinct_keys, fits_broadcast, keep_wanted, lookup, status_of
 from askframe.sources.manifest import files, list_tree, open_storage
 from askframe.sources.storage import full_path, task_count
 
@@ -83,7 +83,7 @@ def answer_line_counts(requests: DataFrame, manifest: DataFrame, path: str = "pa
     Only requested files are read, each once. A directory is not a file.
     """
     wanted = distinct_keys(requests, path).withColumnRenamed(path, "path")
-    counts = count_by_ranges(files(manifest).select("path", "length").join(wanted, "path", "left_semi"))
+    counts = count_by_ranges(keep_wanted(files(manifest).select("path", "length"), wanted, "path"))
     answered = lookup(requests, counts.withColumnRenamed("path", path), path, small=fits_broadcast(wanted))
     answered = answered.withColumn("present", F.col("newline_count").isNotNull())
     return answered.select(*requests.columns, "newline_count", status_of(path).alias("status"))

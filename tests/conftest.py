@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def nothing_fits(monkeypatch):
-    """Every measured table is over the broadcast bound."""
+    """Every measured table is over every bound."""
     from askframe.operators import presence, search
 
     def never(table, *_):
@@ -25,4 +25,5 @@ def nothing_fits(monkeypatch):
 
     for module in (presence, search):
         monkeypatch.setattr(module, "fits_broadcast", never)
+    monkeypatch.setattr(presence, "FEW_KEYS", 0)
     return never

@@ -10,6 +10,7 @@ from askframe.sources.datasets import (
     partition_columns,
     read_snapshots,
     snapshot_dataset,
+    take_snapshots,
     write_snapshots,
 )
 
@@ -48,9 +49,12 @@ def test_snapshots(spark, tmp_path, bounded, request):
     if not bounded:
         request.getfixturevalue("nothing_fits")
     out = str(tmp_path / "out")
-    rows = [("hot/", DAY), ("hot", date(2024, 3, 1)), ("007", DAY), ("c/d e", DAY), ("nope", DAY)]
+    rows = [("hot/", DAY), ("hot", date(2024, 3, 1)), ("007", DAY), ("c/d e", DAY), ("nope", DAY), ("", DAY), (None, DAY)]
     requests = spark.createDataFrame(rows, "source string, day date")
-    write_snapshots(table, plan_snapshots(requests, table, "source"), out)
+    answers = take_snapshots(table, requests, out)
+    assert {(a.source, a.status) for a in answers.collect()} == {
+        ("hot/", "ok"), ("hot", "ok"), ("007", "ok"), ("c/d e", "ok"), ("nope", "not_found"), ("", "not_found"), (None, "no_request")
+    }
 
     def counts():
         rows = read_snapshots(spark, out, table).groupBy("source", "snapshot_date").count().collect()
@@ -61,7 +65,7 @@ def test_snapshots(spark, tmp_path, bounded, request):
     # The same day again replaces that snapshot and no other.
     again = spark.createDataFrame([("007", DAY)], "source string, day date")
     less = table.where("id < 100")
-    write_snapshots(less, plan_snapshots(again, less, "source"), out, clustered=True)
+    write_snapshots(less, again, out, clustered=True)
     assert counts() == before | {("007", DAY): 33}
     assert all(f.endswith(".gz.parquet") for f in spark.read.parquet(out).inputFiles())
 
@@ -72,7 +76,7 @@ def test_hot_source_is_split(spark, tmp_path):
     requests = spark.createDataFrame([("hot", DAY)], "source string, day date")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4MB")
     try:
-        write_snapshots(table, plan_snapshots(requests, table, "source"), out)
+        write_snapshots(table, requests, out)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     written = read_snapshots(spark, out, table)

@@ -112,9 +112,9 @@ def test_ranges(spark, tree, monkeypatch):
 
 
 @pytest.mark.parametrize("bounded", [True, False])
-def test_requests(spark, tree, bounded, monkeypatch):
+def test_requests(spark, tree, bounded, request, monkeypatch):
     if not bounded:
-        monkeypatch.setattr(text_files, "fits_broadcast", lambda *_: False)
+        monkeypatch.setattr(text_files, "fits_broadcast", request.getfixturevalue("nothing_fits"))
     home = f"file:{tree}"
     asked = [f"{home}/terminated"] * 2 + [f"{home}/.hidden", f"{home}/empty", f"{home}/nope", f"{home}/sub", None]
     requests = spark.createDataFrame(list(enumerate(asked)), "request_id int, path string")

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from askframe.operators import presence
-from askframe.operators.presence import check_presence, fits_broadcast, lookup, missing, present
+from askframe.operators.presence import check_presence, fits_broadcast, keep_wanted, lookup, missing, present
 
 
 def hot_tables(spark):
@@ -13,11 +13,12 @@ def hot_tables(spark):
     return left, spark.range(6000).select(known_key.alias("key"))
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_presence(spark, bounded, request):
+@pytest.mark.parametrize("bounds", ["few", "broadcast", "none"])
+def test_presence(spark, bounds, request, monkeypatch):
     left, known = hot_tables(spark)
-    if not bounded:
+    if bounds == "none":
         request.getfixturevalue("nothing_fits")
+    monkeypatch.setattr(presence, "FEW_KEYS", 10_000 if bounds == "few" else 0)
     marked = check_presence(left, known, "key").collect()
     there = {row.key for row in known.distinct().collect()}
     assert len(marked) == 6000 == len({row.id for row in marked})
@@ -38,6 +39,18 @@ def test_large_lookup_keeps_hot_keys_out_of_the_shuffle(spark):
     assert all(r.size == (None if r.key is None else len(r.key)) for r in rows)
 
 
+def test_few_keys_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "known")
+    spark.range(100).select(F.col("id").cast("string").alias("key")).write.parquet(path)
+    requests = spark.createDataFrame([("7",), ("x",), ("7",)], "key string")
+    known = spark.read.parquet(path)
+    assert "In(key, [" in check_presence(requests, known, "key")._jdf.queryExecution().toString()
+    assert present(requests, known, "key").count() == 2
+    kept = keep_wanted(known, requests.distinct(), "key")
+    assert "In(key, [" in kept._jdf.queryExecution().toString()
+    assert [row.key for row in kept.collect()] == ["7"]
+
+
 def test_bounds(spark):
     table = spark.range(100).select(F.repeat(F.lit("x"), 10).alias("t"))
     assert fits_broadcast(table, rows=100, size=1000)
