@@ -2,15 +2,15 @@
 
 A pattern covers the whole name: ``*`` any run, ``?`` one character, ``[...]``
 one of a set (``[!...]`` or ``[^...]`` one outside it), backslash quotes the next
-character, everything else (braces too) stands for itself. Named sets such as
-``[:digit:]`` are ASCII. The translation runs once per pattern, never per row.
+character, everything else (braces, unmatched brackets) stands for itself. Named sets such as
+``[:digit:]`` cover Unicode. The translation runs once per pattern, never per row.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from itertools import groupby
 
 from pyspark.sql import Column
@@ -18,27 +18,27 @@ from pyspark.sql import functions as F
 
 _TOKEN = re.compile(
     r"\\(?P<quoted>.)"
-    r"|\[(?P<outside>[!^]?)(?P<members>\]?(?:\\.|\[:[a-z]+:\]|[^\]\\])*+)\]"
+    r"|\[(?P<outside>[!^]?+)(?P<members>\]?+(?:\\.|\[:[a-z]+:\]|[^\]\\])*+)\]"
     r"|(?P<wild>[*?])"
     r"|(?P<plain>.)",
     re.DOTALL,
 )
 _MEMBER = re.compile(r"\[:(?P<named>[a-z]+):\]|(?:\\)?(?P<low>.)(?:-(?:\\)?(?P<high>.))?", re.DOTALL)
 
-# Set names a pattern may use, with the JVM's names for them.
+# Set names a pattern may use, and their members as the JVM writes them.
 NAMED_SETS = {
-    "alnum": "Alnum",
-    "alpha": "Alpha",
-    "blank": "Blank",
-    "cntrl": "Cntrl",
-    "digit": "Digit",
-    "graph": "Graph",
-    "lower": "Lower",
-    "print": "Print",
-    "punct": "Punct",
-    "space": "Space",
-    "upper": "Upper",
-    "xdigit": "XDigit",
+    "alnum": r"\p{IsAlphabetic}0-9",
+    "alpha": r"\p{IsAlphabetic}",
+    "blank": r"\t\p{Zs}",
+    "cntrl": r"\p{Cc}",
+    "digit": r"0-9",
+    "graph": r"\p{L}\p{M}\p{N}\p{P}\p{S}",
+    "lower": r"\p{IsLowercase}",
+    "print": r"\p{L}\p{M}\p{N}\p{P}\p{S}\p{Zs}",
+    "punct": r"\p{P}\p{S}",
+    "space": r"\s\p{Z}",
+    "upper": r"\p{IsUppercase}",
+    "xdigit": r"0-9A-Fa-f",
 }
 
 # Stand for the two ends of a name in anchors.
@@ -59,7 +59,7 @@ class Glob:
     pattern: str
     runs: list[list[tuple[str, str | None]]] | None
 
-    @property
+    @cached_property
     def texts(self) -> list[str] | None:
         """The stretches between the stars, if all of them are plain text."""
         if self.runs is None or any(char is None for run in self.runs for _, char in run):
@@ -83,7 +83,7 @@ class Glob:
         inner = "".join(f"(?>.*?{run})" for run in rest[:-1] if run)
         return rf"(?s)\A{first}{inner}" + (rf".*{rest[-1]}\z" if rest[-1] else "")
 
-    @property
+    @cached_property
     def stretches(self) -> tuple[str, str, list[str]]:
         """The plain text every match begins with, ends with, and contains in between."""
         pieces: list[str | None] = [""]
@@ -128,7 +128,7 @@ def _character_set(outside: bool, members: str) -> str:
         if named is not None:
             if named not in NAMED_SETS:
                 return "(?!)"
-            body += rf"\p{{{NAMED_SETS[named]}}}"
+            body += NAMED_SETS[named]
         elif high is None:
             body += _quote(low)
         elif low <= high:

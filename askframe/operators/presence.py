@@ -17,9 +17,9 @@ HOT_SHARE = 1_000  # a key is hot with more than 1/1000 of the rows: at most 999
 
 
 def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Measures a table against the broadcast bounds, reading at most ``rows + 1`` rows."""
+    """Measures a table against the broadcast bounds; one row per task leaves its task."""
     width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns), F.lit(0))
-    seen = table.limit(rows + 1).select(width.alias("width")).agg(F.count("*"), F.sum("width")).first()
+    seen = table.select(width.alias("width")).agg(F.count("*"), F.sum("width")).first()
     return seen[0] <= rows and (seen[1] or 0) <= size
 
 

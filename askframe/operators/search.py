@@ -13,7 +13,7 @@ names: one scan and one row per task to merge. More of them are joined:
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
+from functools import partial, reduce
 from itertools import batched
 
 import pandas as pd
@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from askframe.functions.globs import END, START, is_pushable, matches, translate
 from askframe.functions.messages import FILE_FOUND, FILE_MISSING, fill
 from askframe.operators.presence import distinct_keys, fits_broadcast, lookup, mark_present, status_of
-from askframe.sources.storage import scratch_path
+from askframe.sources.storage import scratch_path, task_count
 
 ONE_SCAN = 64
+KINDS = ("whole", "start", "end", "inner")
 
 
 def any_match(names: DataFrame, pattern: str, name: str = "name") -> bool:
@@ -66,7 +67,7 @@ def _found_patterns(requests: DataFrame, names: DataFrame, pattern: str, name: s
     head = [row.pattern for row in wanted.limit(ONE_SCAN + 1).collect()]
     if len(head) <= ONE_SCAN:
         return _match_in_one_scan(names, sorted(head)), True
-    return _match_by_join(names, wanted), fits_broadcast(wanted)
+    return _match_by_join(names, wanted)
 
 
 def _match_in_one_scan(names: DataFrame, patterns: list[str]) -> DataFrame:
@@ -101,17 +102,26 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
-def _match_by_join(names: DataFrame, wanted: DataFrame) -> DataFrame:
+def _match_by_join(names: DataFrame, wanted: DataFrame) -> tuple[DataFrame, bool]:
     spark = wanted.sparkSession
     # Read several times below: written once, translated once.
     scratch = scratch_path(spark, "patterns")
-    wanted.mapInPandas(_describe, DESCRIBED).write.parquet(scratch)
+    spread = wanted.repartition(task_count(spark))
+    spread.mapInPandas(_describe, DESCRIBED).write.parquet(scratch)
     described = spark.read.schema(DESCRIBED).parquet(scratch)
-    keyed = _rarest_anchor(described)
-    found = [_match_by_ends(names, keyed.where("not inner")), _match_by_inner_text(names, keyed.where("inner"))]
+    # One measure for all that comes of this table: each is a part of it.
+    small = fits_broadcast(described)
+    keyed = _rarest_anchor(described, small)
+    shapes = keyed.select("kind", F.length("anchor").alias("size")).distinct().collect()
+    sizes = {kind: sorted(row["size"] for row in shapes if row.kind == kind) for kind in KINDS}
+    found = []
+    if sizes["whole"] or sizes["start"] or sizes["end"]:
+        found.append(_verified(names, keyed.where("kind != 'inner'"), small, partial(_cut_ends, sizes=sizes)))
+    if sizes["inner"]:
+        found.append(_verified(names, keyed.where("kind = 'inner'"), small, partial(_cut_inside, sizes=sizes["inner"])))
     loose = described.where("size(anchors) = 0").select("pattern")
     found += [_match_in_one_scan(names, batch) for batch in _batches(loose)]
-    return reduce(DataFrame.unionByName, [part for part in found if part is not None])
+    return reduce(DataFrame.unionByName, found or [wanted.limit(0)]), small
 
 
 def _batches(patterns: DataFrame) -> Iterator[list[str]]:
@@ -119,36 +129,24 @@ def _batches(patterns: DataFrame) -> Iterator[list[str]]:
         yield [row.pattern for row in rows]
 
 
-def _match_by_ends(names: DataFrame, keyed: DataFrame) -> DataFrame:
-    """Patterns found by the whole, the start or the end of a name."""
+def _cut_ends(names: DataFrame, sizes: dict[str, list[int]]) -> DataFrame:
+    """Every name with all of it, and its starts and ends of the given sizes."""
     text = F.concat(F.lit(START), F.col("name"), F.lit(END))
-    shape = F.col("anchor").startswith(START).alias("at_start"), F.length("anchor").alias("size")
-    cuts = [
-        (F.left if row.at_start else F.right)(text, F.lit(row.size))
-        for row in keyed.where("not whole").select(*shape).distinct().collect()
-    ]
-    return _verified(names, keyed, lambda some: some.select("name", F.explode(F.array(text, *cuts)).alias("anchor")))
-
-
-def _match_by_inner_text(names: DataFrame, keyed: DataFrame) -> DataFrame | None:
-    """Patterns found by a text anywhere in a name."""
-    sizes = [row["size"] for row in keyed.select(F.length("anchor").alias("size")).distinct().collect()]
-    if not sizes:
-        return None
-
-    def cut(some: DataFrame) -> DataFrame:
-        sized = some.select("name", F.explode(F.array(*map(F.lit, sizes))).alias("size"))
-        placed = sized.where(F.length("name") >= F.col("size")).select(
-            "name", "size", F.explode(F.sequence(F.lit(1), F.length("name") - F.col("size") + 1)).alias("at")
-        )
-        return placed.select("name", F.substr("name", "at", "size").alias("anchor"))
+    cuts = [F.left(text, F.lit(size)) for size in sizes["start"]] + [F.right(text, F.lit(size)) for size in sizes["end"]]
+    return names.select("name", F.explode(F.array(text, *cuts)).alias("anchor"))
+
 
-    return _verified(names, keyed, cut)
+def _cut_inside(names: DataFrame, sizes: list[int]) -> DataFrame:
+    """Every name with the texts of the given sizes at all its places."""
+    sized = names.select("name", F.explode(F.array(*map(F.lit, sizes))).alias("size"))
+    last = F.length("name") - F.col("size") + 1
+    placed = sized.where(last >= 1).select("name", "size", F.explode(F.sequence(F.lit(1), last)).alias("at"))
+    return placed.select("name", F.substr("name", "at", "size").alias("anchor"))
 
 
-def _verified(names: DataFrame, keyed: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _verified(names: DataFrame, keyed: DataFrame, small: bool, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The patterns that match a name they share an anchor with."""
-    if fits_broadcast(keyed):
+    if small:
         candidates = cut(names).join(F.broadcast(keyed), "anchor")
     else:
         # Names have to be shuffled: let repeated ones travel once.
@@ -156,25 +154,30 @@ def _verified(names: DataFrame, keyed: DataFrame, cut: Callable[[DataFrame], Dat
     # Should a name hold the marks itself, its start may look like another's whole.
     is_name = F.length("anchor") == F.length("name") + len(START + END)
     is_match = F.col("name").startswith(F.col("start")) & F.col("name").endswith(F.col("end")) & F.expr("name rlike regex")
-    return candidates.where(F.when(F.col("whole"), is_name).otherwise(is_match)).select("pattern").distinct()
+    return candidates.where(F.when(F.col("kind") == "whole", is_name).otherwise(is_match)).select("pattern").distinct()
 
 
-def _rarest_anchor(described: DataFrame) -> DataFrame:
+def _rarest_anchor(described: DataFrame, small: bool) -> DataFrame:
     """One anchor per pattern: the one that the fewest other patterns share.
 
     With ``a*.html`` and ``b*.html`` that is the start, not the common ending.
     Among equals the ends of a name come first: there is one of each, where inner
     texts are looked for at every place.
     """
-    each = described.select(
-        "pattern", F.struct("regex", "whole", "start", "end").alias("glob"), F.explode("anchors").alias("anchor")
+    anchor = F.col("anchor")
+    kind = (
+        F.when(F.col("whole"), "whole")
+        .when(anchor.startswith(START), "start")
+        .when(anchor.endswith(END), "end")
+        .otherwise("inner")
     )
-    each = each.withColumn("inner", ~F.col("anchor").startswith(START) & ~F.col("anchor").endswith(END))
+    each = described.select("pattern", "whole", F.struct("regex", "start", "end").alias("glob"), F.explode("anchors").alias("anchor"))
+    each = each.withColumn("kind", kind)
     shared = each.groupBy("anchor").agg(F.count("*").alias("users"))
-    ranking = F.struct("users", "inner", -F.length("anchor"), "anchor")
+    ranking = F.struct("users", F.col("kind") == "inner", -F.length("anchor"), "anchor")
     return (
-        lookup(each, shared, "anchor")
+        lookup(each, shared, "anchor", small)
         .groupBy("pattern")
-        .agg(F.min_by(F.struct("anchor", "inner", "glob"), ranking).alias("best"))
-        .select("pattern", "best.anchor", "best.inner", "best.glob.*")
+        .agg(F.min_by(F.struct("anchor", "kind", "glob"), ranking).alias("best"))
+        .select("pattern", "best.anchor", "best.kind", "best.glob.*")
     )

@@ -74,6 +74,8 @@ WITH {PAGES}, {FIXED_PATTERNS}, checked AS (
 SELECT pattern, found,
        'Файл ''' || pattern || CASE WHEN found THEN ''' найден' ELSE ''' не найден' END AS message
 FROM checked""",
+    "find_one_name": f"""
+WITH {PAGES} SELECT '{PATTERNS[0]}' AS pattern, count(*) > 0 AS found FROM parts WHERE name GLOB '{PATTERNS[0]}'""",
     "find_name_matches": f"""
 WITH {PAGES}, {FIXED_PATTERNS}
 SELECT pattern FROM patterns
@@ -94,6 +96,7 @@ SELECT p_partkey, r.pattern, f.pattern IS NOT NULL AS found,
 FROM requests r LEFT JOIN found f ON r.pattern = f.pattern""",
     "file_manifest": f"WITH {PAGES} SELECT path, parent, name, 'file' AS kind FROM parts",
     "directory_listing": f"WITH {PAGES} SELECT DISTINCT parent, name FROM parts WHERE name NOT LIKE '.%'",
+    "tree_directories": "SELECT DISTINCT 'lang=' || lang AS name FROM documents",
     "missing_directory_reject": f"""
 WITH {SOURCE_REQUESTS}
 SELECT dir, 'Дирректория ''' || dir || ''' не найдена!' AS message FROM requests
@@ -127,6 +130,14 @@ SELECT lang, CAST(sum({newlines('text')} + 1) AS BIGINT) AS newline_count FROM d
     "prefix_backup_first_run": """
 SELECT s_name AS name, s_suppkey AS content FROM supplier
 UNION ALL SELECT 'backup_' || s_name, s_suppkey FROM supplier""",
+    "backup_by_kind": """
+WITH entries AS (
+    SELECT p_name || '-' || p_partkey AS name,
+           CASE p_type WHEN 'SMALL' THEN 'dir' WHEN 'ECONOMY' THEN 'other' ELSE 'file' END AS kind, p_size
+    FROM part
+)
+SELECT name, kind, p_size FROM entries
+UNION ALL SELECT 'backup_' || name, kind, p_size FROM entries WHERE kind <> 'other'""",
     "prefix_backup_second_run": second_run("s_name"),
     "prefix_backup_second_run_lower": second_run("lower(s_name)"),
     "requested_backup": f"""

@@ -13,7 +13,7 @@ from askframe.operators.backup import after_backup, answer_backups, run_backups
 from askframe.operators.greeting import greet, read_fields
 from askframe.operators.newlines import count_newlines, total_newlines
 from askframe.operators.presence import missing, present
-from askframe.operators.search import found_patterns, search
+from askframe.operators.search import any_match, found_patterns, search
 from askframe.operators.snapshot import plan_snapshots, report_snapshots
 from askframe.sources.datasets import backup_datasets, read_snapshots, snapshot_dataset, write_snapshots
 from askframe.sources.manifest import files, list_tree, manifest_from_paths, visible_entries
@@ -94,6 +94,13 @@ def find_name_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(fixed_patterns(spark), names).select("pattern", "found", "message")
 
 
+def find_one_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pattern, ending at the first match."""
+    pattern = PATTERNS[0]
+    found = any_match(files(page_manifest(spark, sf_dir)), pattern)
+    return spark.createDataFrame([(pattern, found)], "pattern string, found boolean")
+
+
 def find_name_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found_patterns(fixed_patterns(spark), files(page_manifest(spark, sf_dir)))
 
@@ -115,6 +122,11 @@ def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files(page_manifest(spark, sf_dir)).select("path", "parent", "name", "kind")
 
 
+def tree_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The directories found in a tree that Spark has written."""
+    return list_tree(spark, write_text_files(spark, sf_dir)).where("kind = 'dir'").select("name")
+
+
 def directory_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visible_entries(page_manifest(spark, sf_dir)).select("parent", "name").distinct()
 
@@ -230,6 +242,13 @@ def prefix_backup_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return after_backup(supplier_entries(spark, sf_dir))
 
 
+def backup_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and directories are copied, entries of any other kind are not."""
+    kind = F.when(F.col("p_type") == "SMALL", "dir").when(F.col("p_type") == "ECONOMY", "other").otherwise("file")
+    name = F.concat_ws("-", "p_name", "p_partkey").alias("name")
+    return after_backup(table(spark, sf_dir, "part").select(name, kind.alias("kind"), "p_size"))
+
+
 def second_run(entries: DataFrame) -> DataFrame:
     """A run over entries, their copies with old content, and a hidden entry."""
     old = entries.select(F.concat(F.lit("backup_"), "name").alias("name"), (F.col("content") + 1000000).alias("content"))
@@ -289,10 +308,12 @@ QUERIES: dict[str, Query] = {
         greeting_files,
         greeting_stream,
         find_name_exists,
+        find_one_name,
         find_name_matches,
         find_many_names,
         file_manifest,
         directory_listing,
+        tree_directories,
         missing_directory_reject,
         present_directory,
         snapshot_answers,
@@ -308,6 +329,7 @@ QUERIES: dict[str, Query] = {
         file_newline_count,
         file_newline_answers,
         prefix_backup_first_run,
+        backup_by_kind,
         prefix_backup_second_run,
         prefix_backup_second_run_lower,
         requested_backup,

@@ -31,6 +31,13 @@ CASES = [
     ("[&&a]", ["&", "a"], ["b"]),
     ("[[a]", ["[", "a"], ["b"]),
     ("[abc", ["[abc"], ["a", "b"]),
+    ("[!]", ["[!]"], ["a", "!", "]"]),
+    ("x[^]*", ["x[^]", "x[^]y"], ["xa", "x^"]),
+    ("[]", ["[]"], ["", "a"]),
+    ("[!]x]", ["!", "a"], ["]", "x"]),
+    ("[[:alpha:]]", ["é", "漢", "a"], ["1", "_"]),
+    ("[[:punct:]]?", [".😀", "+a"], ["ab", "😀"]),
+    ("[[:upper:][:digit:]]", ["É", "7"], ["é", "²"]),
     ("{a,b}", ["{a,b}"], ["a", "b"]),
     ("a\\*b", ["a*b"], ["axb", "a\\*b"]),
     ("[\\]]", ["]"], ["\\", "\\]"]),
