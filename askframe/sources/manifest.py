@@ -76,6 +76,17 @@ def list_tree(spark: SparkSession, root: str, recursive: bool = True) -> DataFra
             return reduce(DataFrame.unionByName, levels)
 
 
+def readable_files(spark: SparkSession, root: str) -> DataFrame:
+    """The files below a directory that Spark's own readers would take.
+
+    Listed in the JVM, contents unread. Left out are empty files and whatever has
+    a name, or lies in a directory with a name, that starts with ``.`` or ``_``:
+    where these matter, take ``list_tree``.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return manifest_from_paths(found.select("path", "length", F.col("modificationTime").alias("modified")))
+
+
 def open_storage(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a qualified path, and the path as that system wants it."""
     if path.startswith("file:"):

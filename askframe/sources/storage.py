@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from collections.abc import Iterator
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -47,11 +50,18 @@ def task_count(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+@cache
+def _local_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="askframe-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder all executors share.
 
     That is ``spark.checkpoint.dir`` of the session. Where it is unset, a local
-    temporary folder will do for a local session only.
+    temporary folder, gone when Python ends, will do for a local session only.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
@@ -60,5 +70,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.gettempdir()
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/askframe-{name}-{uuid4().hex}"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from askframe.operators.newlines import total_newlines
 from askframe.sources import text_files
-from askframe.sources.manifest import files, list_tree, manifest_from_paths, visible_entries
+from askframe.sources.manifest import files, list_tree, manifest_from_paths, readable_files, visible_entries
 from askframe.sources.storage import full_path, scratch_path
 from askframe.sources.text_files import answer_line_counts, count_by_lines, count_by_ranges, count_files
 
@@ -70,6 +70,20 @@ def test_manifest(spark, tree):
     assert abs(by_name["large"].modified.timestamp() - os.stat(tree / "large").st_mtime) < 1
 
 
+def test_readable_files(spark, tree):
+    found = readable_files(spark, str(tree))
+    assert "content" not in found._jdf.queryExecution().executedPlan().toString()
+    known = {r.path: r for r in files(list_tree(spark, str(tree))).collect()}
+    rows = {r.path: r for r in found.collect()}
+    rows.pop(f"file:{tree}/sub/link")
+    assert {n: rows[n].length for n in rows} == {
+        path: row.length
+        for path, row in known.items()
+        if row.length and "/." not in path and "/_" not in path and not path.endswith("._COPYING_")
+    }
+    assert all(rows[n].parent == known[n].parent and rows[n].name == known[n].name for n in rows)
+
+
 def test_one_level(spark, tree):
     names = {r.name for r in list_tree(spark, str(tree), recursive=False).collect()}
     assert names == {n.split("/")[0] for n in CONTENTS}
