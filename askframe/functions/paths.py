@@ -29,7 +29,11 @@ def base_name(path: Column) -> Column:
 def dir_name(path: Column) -> Column:
     bare = _unslashed(path)
     head = F.left(bare, F.length(bare) - F.length(F.substring_index(bare, "/", -1)))
-    return F.when(bare.contains("/"), clean_dir(head)).when((bare == "") & (path != ""), F.lit("/")).when(path.isNotNull(), F.lit("."))
+    return (
+        F.when(bare.contains("/"), clean_dir(head))
+        .when((bare == "") & (path != ""), F.lit("/"))
+        .when(path.isNotNull(), F.lit("."))
+    )
 
 
 def is_hidden(name: Column) -> Column:

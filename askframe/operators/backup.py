@@ -89,7 +89,9 @@ def _run_over_chains(state: DataFrame, place: list[str]) -> DataFrame:
     )
 
 
-def answer_backups(requests: DataFrame, manifest: DataFrame, dir: str = "dir", missing_text: str = BACKUP_DIR_MISSING) -> DataFrame:
+def answer_backups(
+    requests: DataFrame, manifest: DataFrame, dir: str = "dir", missing_text: str = BACKUP_DIR_MISSING
+) -> DataFrame:
     """Every request plus ``status`` and ``message``; a run that works says nothing."""
     asked = requests.withColumn("path", clean_dir(F.col(dir)))
     checked = check_presence(asked, manifest.where("kind = 'dir'"), "path")

@@ -47,7 +47,9 @@ def lookup(left: DataFrame, right: DataFrame, key: str, small: bool | None = Non
     return joined.drop("_hot")
 
 
-def mark_present(left: DataFrame, keys: DataFrame, key: str, flag: str = "present", small: bool | None = None) -> DataFrame:
+def mark_present(
+    left: DataFrame, keys: DataFrame, key: str, flag: str = "present", small: bool | None = None
+) -> DataFrame:
     """``left`` plus a boolean: is its ``key`` one of the (distinct) ``keys``?"""
     joined = lookup(left, keys.select(key, F.lit(True).alias(flag)), key, small)
     return joined.select(*left.columns, F.coalesce(flag, F.lit(False)).alias(flag))

@@ -132,8 +132,9 @@ def _batches(patterns: DataFrame) -> Iterator[list[str]]:
 def _cut_ends(names: DataFrame, sizes: dict[str, list[int]]) -> DataFrame:
     """Every name with all of it, and its starts and ends of the given sizes."""
     text = F.concat(F.lit(START), F.col("name"), F.lit(END))
-    cuts = [F.left(text, F.lit(size)) for size in sizes["start"]] + [F.right(text, F.lit(size)) for size in sizes["end"]]
-    return names.select("name", F.explode(F.array(text, *cuts)).alias("anchor"))
+    starts = [F.left(text, F.lit(size)) for size in sizes["start"]]
+    ends = [F.right(text, F.lit(size)) for size in sizes["end"]]
+    return names.select("name", F.explode(F.array(text, *starts, *ends)).alias("anchor"))
 
 
 def _cut_inside(names: DataFrame, sizes: list[int]) -> DataFrame:
@@ -153,7 +154,7 @@ def _verified(names: DataFrame, keyed: DataFrame, small: bool, cut: Callable[[Da
         candidates = cut(names.distinct()).join(keyed, "anchor")
     # Should a name hold the marks itself, its start may look like another's whole.
     is_name = F.length("anchor") == F.length("name") + len(START + END)
-    is_match = F.col("name").startswith(F.col("start")) & F.col("name").endswith(F.col("end")) & F.expr("name rlike regex")
+    is_match = F.expr("startswith(name, start) and endswith(name, end) and name rlike regex")
     return candidates.where(F.when(F.col("kind") == "whole", is_name).otherwise(is_match)).select("pattern").distinct()
 
 
@@ -171,8 +172,8 @@ def _rarest_anchor(described: DataFrame, small: bool) -> DataFrame:
         .when(anchor.endswith(END), "end")
         .otherwise("inner")
     )
-    each = described.select("pattern", "whole", F.struct("regex", "start", "end").alias("glob"), F.explode("anchors").alias("anchor"))
-    each = each.withColumn("kind", kind)
+    glob = F.struct("regex", "start", "end").alias("glob")
+    each = described.select("pattern", "whole", glob, F.explode("anchors").alias("anchor")).withColumn("kind", kind)
     shared = each.groupBy("anchor").agg(F.count("*").alias("users"))
     ranking = F.struct("users", F.col("kind") == "inner", -F.length("anchor"), "anchor")
     return (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -251,7 +252,8 @@ def backup_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def second_run(entries: DataFrame) -> DataFrame:
     """A run over entries, their copies with old content, and a hidden entry."""
-    old = entries.select(F.concat(F.lit("backup_"), "name").alias("name"), (F.col("content") + 1000000).alias("content"))
+    old_name, old_content = F.concat(F.lit("backup_"), "name"), F.col("content") + 1000000
+    old = entries.select(old_name.alias("name"), old_content.alias("content"))
     hidden = entries.agg(F.lit(".index").alias("name"), F.max("content").alias("content"))
     return after_backup(entries.unionByName(old).unionByName(hidden))
 
@@ -276,7 +278,8 @@ def backup_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.concat(F.lit("src"), "n_nationkey", F.lit("/")).alias("dir")
     requests = table(spark, sf_dir, "nation").select(names)
     directories = manifest_from_paths(
-        table(spark, sf_dir, "documents").select(F.col("source").alias("path"), F.lit("dir").alias("kind")), kind="kind"
+        table(spark, sf_dir, "documents").select(F.col("source").alias("path"), F.lit("dir").alias("kind")),
+        kind="kind",
     )
     return answer_backups(requests, directories)
 
@@ -290,14 +293,9 @@ def dataset_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
     backup_datasets(spark, home)
     backup_datasets(spark, home)
     names = [prefix + name for prefix in ("", "backup_", "backup_backup_") for name in ("Supplier", "supplier")]
-    copies = [
-        spark.read.parquet(f"{home}/{name}").select(F.lit(name).alias("dataset"), "s_suppkey", F.col("s_nationkey").cast("int"))
-        for name in names
-    ]
-    result = copies[0]
-    for copy in copies[1:]:
-        result = result.unionByName(copy)
-    return result
+    columns = "s_suppkey", F.col("s_nationkey").cast("int")
+    copies = [spark.read.parquet(f"{home}/{name}").select(F.lit(name).alias("dataset"), *columns) for name in names]
+    return reduce(DataFrame.unionByName, copies)
 
 
 QUERIES: dict[str, Query] = {

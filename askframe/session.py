@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int = 8, memory: str = "8g", name: str = "askframe", shared: str | None = None) -> SparkSession:
+def local_session(
+    cores: int = 8, memory: str = "8g", name: str = "askframe", shared: str | None = None
+) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)

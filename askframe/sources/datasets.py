@@ -33,7 +33,8 @@ def write_snapshots(
     saves that shuffle.
     """
     asked = requests.select(clean_dir(F.col(key)).alias(key), F.col(day).cast("date").alias("snapshot_date"))
-    days = asked.where((F.col(key) != "") & F.col("snapshot_date").isNotNull()).groupBy(key).agg(F.collect_set("snapshot_date").alias("_days"))
+    asked = asked.where((F.col(key) != "") & F.col("snapshot_date").isNotNull())
+    days = asked.groupBy(key).agg(F.collect_set("snapshot_date").alias("_days"))
     values = few_keys(days, key)
     if values is not None:
         records = records.where(F.col(key).isin(values))
@@ -51,7 +52,9 @@ def write_snapshots(
     )
 
 
-def take_snapshots(records: DataFrame, requests: DataFrame, out: str, key: str = "source", day: str = "day") -> DataFrame:
+def take_snapshots(
+    records: DataFrame, requests: DataFrame, out: str, key: str = "source", day: str = "day"
+) -> DataFrame:
     """Writes the snapshots and answers the requests, success only after the commit."""
     write_snapshots(records, requests, out, key, day)
     return report_snapshots(plan_snapshots(requests, records, key, day), key)
@@ -77,7 +80,9 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
         path = f"{path}/{step}"
 
 
-def copy_dataset(spark: SparkSession, source: str, target: str, format: str = "parquet", codec: str | None = None) -> None:
+def copy_dataset(
+    spark: SparkSession, source: str, target: str, format: str = "parquet", codec: str | None = None
+) -> None:
     """Replaces ``target`` by a copy of ``source``, directory layout included.
 
     No shuffle: every task writes what it reads.
@@ -107,7 +112,9 @@ def snapshot_dataset(spark: SparkSession, source: str, out: str, day: date, form
     return target
 
 
-def backup_datasets(spark: SparkSession, directory: str, format: str = "parquet", prefix: str = BACKUP_PREFIX) -> list[str] | None:
+def backup_datasets(
+    spark: SparkSession, directory: str, format: str = "parquet", prefix: str = BACKUP_PREFIX
+) -> list[str] | None:
     """Copies every visible dataset in a directory to its prefixed name.
 
     Returns the targets, or None if there is no such directory. The names are

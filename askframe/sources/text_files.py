@@ -58,16 +58,20 @@ def count_by_ranges(manifest: DataFrame) -> DataFrame:
     """``path, newline_count`` of any files, read as raw bytes in ranges."""
     starts = F.sequence(F.lit(0), F.greatest("length", F.lit(1)) - 1, F.lit(RANGE_BYTES).cast("bigint"))
     ranges = manifest.select("path", F.explode(starts).alias("start"))
-    counted = ranges.repartition(task_count(manifest.sparkSession), "path", "start").mapInPandas(_count_ranges, "path string, newline_count bigint")
+    spread = ranges.repartition(task_count(manifest.sparkSession), "path", "start")
+    counted = spread.mapInPandas(_count_ranges, "path string, newline_count bigint")
     return counted.groupBy("path").agg(F.sum("newline_count").alias("newline_count"))
 
 
-def count_files(spark: SparkSession, root: str, manifest: DataFrame | None = None) -> DataFrame:
+def count_files(spark: SparkSession, root: str, manifest: DataFrame | None = None, raw: bool = False) -> DataFrame:
     """``path, newline_count`` of every regular file below a directory.
 
-    The listing is an argument where there already is one.
+    The listing is an argument where there already is one. ``raw`` counts all files
+    in byte ranges: for lines too long to be held as one value.
     """
     found = files(list_tree(spark, root) if manifest is None else manifest).select("path", "name", "length")
+    if raw:
+        return count_by_ranges(found)
     inside = F.substr("path", F.lit(len(full_path(spark, root).rstrip("/")) + 1))
     apart = inside.rlike(r"/[._]|\._COPYING_(/|$)") | _is_packed(F.col("name"))
     # Paths are unique on both sides; an empty file has no lines to join.

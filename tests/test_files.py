@@ -2,7 +2,6 @@ import gzip
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from askframe.operators.newlines import total_newlines
 from askframe.sources import text_files
@@ -99,6 +98,7 @@ def test_empty_directory(spark, tmp_path):
 
 def test_count_files(spark, tree):
     assert as_dict(count_files(spark, str(tree))) == expected(tree)
+    assert as_dict(count_files(spark, str(tree), raw=True)) == expected(tree)
 
 
 def test_count_files_in_small_splits(spark, tree):
