@@ -81,25 +81,31 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
 
 
 def copy_dataset(
-    spark: SparkSession, source: str, target: str, format: str = "parquet", codec: str | None = None
+    spark: SparkSession, source: str, target: str, format: str = "parquet", codec: str | None = None, **options: str
 ) -> None:
     """Replaces ``target`` by a copy of ``source``, directory layout included.
 
-    No shuffle: every task writes what it reads.
+    No shuffle: every task writes what it reads. ``options`` go to the reader and
+    to the writer.
     """
     refuse_overlap(spark, source, target)
+    if format == "text":
+        options = {"lineSep": "\n"} | options  # or a carriage return would end a line
     parts = partition_columns(spark, source)
-    found = spark.read.format(format).load(source).schema
+    found = spark.read.format(format).options(**options).load(source).schema
     # As text, directory names such as day=01 stay as they are.
     schema = StructType([StructField(f.name, StringType()) if f.name in parts else f for f in found])
-    records = spark.read.format(format).schema(schema).load(source)
-    writer = records.write.format(format).mode("overwrite").option("partitionOverwriteMode", "static")
+    records = spark.read.format(format).options(**options).schema(schema).load(source)
+    writer = records.write.format(format).options(**options).mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "static")
     if codec:
         writer = writer.option("compression", codec)
     writer.partitionBy(*parts).save(target)
 
 
-def snapshot_dataset(spark: SparkSession, source: str, out: str, day: date, format: str = "parquet") -> str | None:
+def snapshot_dataset(
+    spark: SparkSession, source: str, out: str, day: date, format: str = "parquet", **options: str
+) -> str | None:
     """Writes ``out/<name>_<day>`` and returns it; None if there is no such source.
 
     A second run on the same day replaces the first.
@@ -108,12 +114,12 @@ def snapshot_dataset(spark: SparkSession, source: str, out: str, day: date, form
         return None
     name = source.rstrip("/").rsplit("/", 1)[-1]
     target = f"{out.rstrip('/')}/{name}_{day.isoformat()}"
-    copy_dataset(spark, source, target, format, codec=CODEC)
+    copy_dataset(spark, source, target, format, codec=CODEC, **options)
     return target
 
 
 def backup_datasets(
-    spark: SparkSession, directory: str, format: str = "parquet", prefix: str = BACKUP_PREFIX
+    spark: SparkSession, directory: str, format: str = "parquet", prefix: str = BACKUP_PREFIX, **options: str
 ) -> list[str] | None:
     """Copies every visible dataset in a directory to its prefixed name.
 
@@ -136,7 +142,7 @@ def backup_datasets(
         targets = []
         for name in sorted(names, key=str.encode):
             targets.append(f"{directory.rstrip('/')}/{prefix}{name}")
-            copy_dataset(spark, f"{directory.rstrip('/')}/{name}", targets[-1], format)
+            copy_dataset(spark, f"{directory.rstrip('/')}/{name}", targets[-1], format, **options)
         return targets
 
     with ThreadPoolExecutor(WRITERS) as pool:

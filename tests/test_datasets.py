@@ -141,6 +141,24 @@ def test_backups_of_datasets(spark, tmp_path):
     assert backup_datasets(spark, str(tmp_path / "nope")) is None
 
 
+def test_text_keeps_carriage_returns(spark, tmp_path):
+    home = tmp_path / "home"
+    home.mkdir()
+    (home / "log").write_bytes("a\r\nb\rc\né\n".encode())
+    backup_datasets(spark, str(home), "text")
+    assert b"".join(p.read_bytes() for p in (home / "backup_log").glob("part-*")) == (home / "log").read_bytes()
+    target = snapshot_dataset(spark, str(home / "log"), str(tmp_path / "out"), DAY, "text")
+    assert sorted(r.value for r in spark.read.option("lineSep", "\n").text(target).collect()) == ["a\r", "b\rc", "é"]
+
+
+def test_csv_with_options(spark, tmp_path):
+    source, target = str(tmp_path / "data"), str(tmp_path / "copy")
+    spark.createDataFrame([("1", "x;y"), ("2", None)], "a string, b string").write.csv(source, header=True, sep=";")
+    copy_dataset(spark, source, target, "csv", header="true", sep=";")
+    rows = spark.read.csv(target, header=True, sep=";").collect()
+    assert sorted((r.a, r.b) for r in rows) == [("1", "x;y"), ("2", None)]
+
+
 def test_files_are_datasets_too(spark, tmp_path):
     home = tmp_path / "home"
     spark.range(4).coalesce(1).write.parquet(str(home / "_odd"))
