@@ -143,6 +143,15 @@ def test_answers(spark):
     assert rows[3].message is None and rows[3].found is False
 
 
+def test_names_that_are_missing(spark, monkeypatch):
+    names = spark.createDataFrame([(None,), ("a.txt",)], "name string")
+    requests = spark.createDataFrame([("*",), ("*.txt",), ("b",), ("?[!x]*t",)], "pattern string")
+    for bound in (64, 1):
+        monkeypatch.setattr(searching, "ONE_SCAN", bound)
+        found = {row.pattern for row in found_patterns(requests, names).collect()}
+        assert found == {"*", "*.txt", "?[!x]*t"}
+
+
 def test_only_impossible_patterns(spark, monkeypatch):
     monkeypatch.setattr(searching, "ONE_SCAN", 1)
     names = spark.createDataFrame([("a",)], "name string")
