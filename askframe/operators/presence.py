@@ -14,6 +14,8 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 FEW_KEYS = 64
 HOT_SHARE = 1_000  # a key is hot with more than 1/1000 of the rows: at most 999 are
+TRACKED = 10_000  # items in the sketch that finds them
+SALTS = 64  # tasks over which the rows of one hot key are dealt
 
 
 def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
@@ -34,17 +36,26 @@ def lookup(left: DataFrame, right: DataFrame, key: str, small: bool | None = Non
         return left.join(F.broadcast(right), key, "left")
     # Adaptive execution splits skewed partitions only between two plain
     # exchanges, and a right side that comes out of an aggregation is none.
-    total = left.count()
-    per_key = left.where(F.col(key).isNotNull()).groupBy(key).count()
-    hot = per_key.where(F.col("count") > total / HOT_SHARE).select(key)
-    split = left.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    # Rows without a key match nothing: they stay clear of the shuffle as well.
-    apart = F.col("_hot").isNotNull() | F.col(key).isNull()
-    hot_right = right.join(F.broadcast(hot), key, "left_semi")
-    joined = split.where(apart).join(F.broadcast(hot_right), key, "left").unionByName(
-        split.where(~apart).join(right, key, "left")
-    )
-    return joined.drop("_hot")
+    # So rows of hot keys, and rows without a key, which match nothing, are dealt
+    # out by a salt as well, and the few hot rows on the right go to every salt.
+    hot = left.sparkSession.createDataFrame([(k,) for k in hot_keys(left, key)], left.select(key).schema)
+    marked = left.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(SALTS)).cast("int")
+    salted = marked.withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(0)).drop("_hot")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copies = right.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left").withColumn("_salt", F.explode(salts))
+    return salted.join(copies.drop("_hot"), [key, "_salt"], "left").drop("_salt")
+
+
+def hot_keys(table: DataFrame, key: str) -> list:
+    """The keys held by more than 1/HOT_SHARE of the rows, from one aggregation.
+
+    The sketch behind it errs on the side of more keys; it never misses one, as it
+    tracks far more items than there can be hot keys.
+    """
+    tracked = table.select(key).agg(F.count("*").alias("total"), F.expr(f"approx_top_k(`{key}`, {HOT_SHARE}, {TRACKED})").alias("top"))
+    row = tracked.first()
+    return [item["item"] for item in row["top"] or [] if item["item"] is not None and item["count"] > row["total"] / HOT_SHARE]
 
 
 def mark_present(

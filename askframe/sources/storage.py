@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 from collections.abc import Iterator
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -50,25 +46,30 @@ def task_count(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-@cache
-def _local_folder() -> str:
-    folder = tempfile.mkdtemp(prefix="askframe-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
+def scratch_root(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir`` of the session,
+    else the folder its checkpoints were set to, else the warehouse's."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    set_by_hand = spark.sparkContext.getCheckpointDir()
+    if set_by_hand:
+        return set_by_hand.rstrip("/").rsplit("/", 1)[0]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder all executors share.
+    """A new path below ``scratch_root``, never a folder of one machine's own."""
+    return f"{scratch_root(spark)}/askframe-{name}-{uuid4().hex}"
 
-    That is ``spark.checkpoint.dir`` of the session. Where it is unset, a local
-    temporary folder, gone when Python ends, will do for a local session only.
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Deletes everything that ``scratch_path`` has named, of other sessions too.
+
+    For the end of a session: results that still read such tables are lost.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        set_by_hand = spark.sparkContext.getCheckpointDir()
-        shared = set_by_hand.rsplit("/", 1)[0] if set_by_hand else None
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = _local_folder()
-    return f"{shared.rstrip('/')}/askframe-{name}-{uuid4().hex}"
+    root, system = hadoop_path(spark, scratch_root(spark))
+    if not system.exists(root):
+        return
+    for name in [name for name, _ in children(spark, root.toString()) if name.startswith("askframe-")]:
+        system.delete(spark._jvm.org.apache.hadoop.fs.Path(root, name), True)
