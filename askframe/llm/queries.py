@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askframe.llm import fingerprints, lines, mixing, neighbours, packing, quality, sharding, shinglejoin, toxicity
+from askframe.llm import fingerprints, lines, lm, mixing, neighbours, packing, quality, sharding, shinglejoin, toxicity
 from askframe.llm.common import count_words, remainder, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity, spark, sf_dir, 4, 2)
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    scored = lm.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -86,6 +92,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op2_lm": op2_lm,
     "op3_lines": op3_lines,
     "op4_shinglejoin": op4_shinglejoin,
     "op5_packing": op5_packing,
