@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from askframe.sources.storage import scratch_path
 
 #: Words are separated by blanks, tabs, line feeds, vertical tabs, form feeds and carriage returns.
 BLANKS = r"[\x20\x09-\x0D]+"
-DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
+ROWS_PER_RUN = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,3 +42,20 @@ def count_words(text: Column) -> Column:
 
 def code_points(text: Column) -> Column:
     return F.length(F.coalesce(text, F.lit("")))
+
+
+def numbered(rows: DataFrame, by: str, most: int, order: list[str], name: str) -> DataFrame:
+    """Rows numbered from 0 without gaps within ``by``, as column ``name``.
+
+    A group is cut into runs by a hash of the ``order`` columns, so that no task
+    numbers a whole group; ``most`` is the size of the largest. A run's rows follow
+    those of the runs before it.
+    """
+    runs = max(1, -(-most // ROWS_PER_RUN))
+    dealt = rows.withColumn("_run", F.pmod(F.xxhash64(*order), F.lit(runs)).cast("int"))
+    sizes = dealt.groupBy(by, "_run").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.partitionBy(by).orderBy("_run")) - F.col("_n")
+    starts = written(sizes.select(by, "_run", before.alias("_before")), "runs")
+    within = F.row_number().over(W.partitionBy(by, "_run").orderBy(*order)) - 1
+    joined = dealt.withColumn("_within", within).join(starts, [by, "_run"])
+    return joined.withColumn(name, (F.col("_within") + F.col("_before")).cast("long")).drop("_run", "_within", "_before")

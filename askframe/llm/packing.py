@@ -16,14 +16,12 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from askframe.llm.common import written
+from askframe.llm.common import numbered
 
 BUCKETS = 16
 BUDGET = 16_384
-ROWS_PER_RUN = 100_000
 NEW = ["n_tokens", "bucket", "pad_to", "batch", "slot"]
 
 
@@ -62,29 +60,19 @@ def boundaries(counts: np.ndarray, longest: np.ndarray, buckets: int) -> list[in
 def pack(docs: DataFrame, length: Column, key: str = "doc_id", buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
     """Every row plus ``n_tokens``, ``bucket`` (from 0), ``pad_to``, ``batch`` (within the
     bucket, from 0) and ``slot`` (within the batch, from 0)."""
-    spark = docs.sparkSession
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in NEW]
     rows = docs.select(*kept, F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens"))
     by_cell = rows.groupBy(cell(F.col("n_tokens")).alias("cell"))
     cells = by_cell.agg(F.count("*").alias("n"), F.max("n_tokens").alias("longest")).sort("cell").toPandas()
     ends = boundaries(cells["n"].to_numpy(), cells["longest"].to_numpy(), buckets)
     sizes = np.diff(np.concatenate([[0], cells["n"].cumsum().to_numpy()[ends]])) if len(cells) else []
-    facts = [
-        (bucket, int(cells["longest"][end]), max(1, int(cells["longest"][end])), max(1, -(-int(size) // ROWS_PER_RUN)))
-        for bucket, (end, size) in enumerate(zip(ends, sizes))
-    ]
-    plan = spark.createDataFrame(facts, "bucket int, longest long, pad_to long, runs long")
-    # Lengths of a bucket lie above the bucket before: at most 16 comparisons a row.
-    bucket = sum((F.col("n_tokens") > longest).cast("int") for _, longest, _, _ in facts[:-1]) if len(facts) > 1 else F.lit(0)
-    dealt = rows.withColumn("bucket", bucket).join(F.broadcast(plan.drop("longest")), "bucket")
-    run = F.pmod(F.xxhash64(key, "n_tokens"), F.col("runs"))
-    dealt = dealt.withColumn("_run", run).drop("runs")
-    starts = dealt.groupBy("bucket", "_run").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(W.partitionBy("bucket").orderBy("_run")) - F.col("_n")
-    starts = written(starts.select("bucket", "_run", before.alias("_before")), "runs")
-    within = F.row_number().over(W.partitionBy("bucket", "_run").orderBy(key, "n_tokens")) - 1
-    numbered = dealt.withColumn("_within", within).join(starts, ["bucket", "_run"])
-    at = (F.col("_within") + F.col("_before")).cast("long")
+    facts = [(bucket, int(cells["longest"][end])) for bucket, end in enumerate(ends)]
+    # Lengths of a bucket lie above the bucket before: at most as many comparisons a row as buckets.
+    bucket = sum(((F.col("n_tokens") > longest).cast("int") for _, longest in facts[:-1]), F.lit(0))
+    widths = F.array(*[F.lit(max(1, longest)).cast("long") for _, longest in facts]) if facts else F.array(F.lit(1).cast("long"))
+    placed = rows.withColumn("bucket", bucket).withColumn("pad_to", F.element_at(widths, F.col("bucket") + 1))
+    numbered_rows = numbered(placed, "bucket", int(max(sizes, default=0)), [key, "n_tokens"], "_at")
+    at = F.col("_at")
     admits = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.col("pad_to"))).cast("long")
     batch = F.floor(at / admits).cast("long")
-    return numbered.select(*kept, "n_tokens", "bucket", "pad_to", batch.alias("batch"), (at % admits).cast("int").alias("slot"))
+    return numbered_rows.select(*kept, "n_tokens", "bucket", "pad_to", batch.alias("batch"), (at % admits).cast("int").alias("slot"))

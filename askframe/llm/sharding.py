@@ -2,10 +2,10 @@
 
 Bytes, tokens and rows are balanced jointly. Rows are gathered into a bounded number
 of items: every group of equal texts that holds a noticeable part of a shard in any
-of the three measures is an item of its own, or several if it is larger than such a
-part (so a text that a third of all rows share is spread), and all other groups are
-pooled by the hash of their text. The items, at most ``FINE`` parts per shard and
-measure plus the pools, are placed one after another, the largest first, on the
+of the three measures is an item of its own, or several if it is over ``WHOLE`` of a shard
+(so a text that a third of all rows share is spread), and all other groups are pooled
+by the hash of their text. The items, of a number bounded by ``FINE``, the shards and
+the pools, are placed one after another, the largest first, on the
 shard where the dot product of item and residual capacity is highest. Places travel
 back to the rows as a broadcast table of that bounded size.
 
@@ -17,13 +17,14 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from askframe.llm.common import count_words, written
+from askframe.llm.common import count_words, numbered, written
 
 SHARDS = 24
-FINE = 256  # a group is placed on its own from 1/FINE of a shard on, and split into such parts
+FINE = 256  # a group is placed on its own from 1/FINE of a shard on
+WHOLE = 1 / 4  # and split from this share of a shard on
+PIECES = 16  # into so many pieces per shard that it fills
 POOLS_PER_SHARD = 512
 MEASURES = ("size", "tokens", "rows")
 
@@ -54,10 +55,11 @@ def shard(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str
     rows = written(rows, "sizes")
     sums = [F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")]
     totals = rows.agg(*sums).first()
-    parts = [(F.col(m) * (shards * FINE / totals[m])) if totals[m] else F.lit(0.0) for m in MEASURES]
-    groups = rows.groupBy("mark", "crc").agg(*sums).withColumn("parts", F.ceil(F.greatest(*parts)).cast("int"))
-    # At most 3 * shards * FINE groups reach a part in one of the measures.
-    large = groups.where(F.greatest(*parts) >= 1).select("mark", "crc", "parts").sort("mark", "crc").toPandas()
+    share = F.greatest(*[(F.col(m) * (shards / totals[m])) if totals[m] else F.lit(0.0) for m in MEASURES])
+    pieces = F.when(share <= WHOLE, 1).otherwise(F.ceil(share * PIECES)).cast("int")
+    groups = rows.groupBy("mark", "crc").agg(*sums).withColumn("parts", pieces)
+    # At most 3 * shards * FINE groups have such a share in one of the measures.
+    large = groups.where(share >= 1 / FINE).select("mark", "crc", "parts").sort("mark", "crc").toPandas()
     pools = shards * POOLS_PER_SHARD
     large["base"] = pools + large["parts"].cumsum() - large["parts"]
     known = spark.createDataFrame(list(large.astype("int64").itertuples(index=False, name=None)), "mark long, crc long, parts long, base long")
@@ -66,10 +68,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str
     rows = marked.select("key", "size", "tokens", "crc", F.coalesce(part, F.pmod("mark", F.lit(pools))).alias("item"))
     items = rows.groupBy("item").agg(*sums).sort("item").toPandas()
     items["shard"] = place(items[list(MEASURES)].to_numpy(dtype=float), shards)
-    items["before"] = items.groupby("shard")["rows"].cumsum() - items["rows"]
-    places = spark.createDataFrame(list(items[["item", "shard", "before"]].astype("int64").itertuples(index=False, name=None)), "item long, shard int, before long")
-    within = F.row_number().over(W.partitionBy("item").orderBy("key", "crc", "size")) - 1
-    placed = rows.withColumn("within", within).join(F.broadcast(places), "item")
-    return placed.select(
-        F.col("key").alias(key), "size", "tokens", F.col("crc").alias("text_crc32"), "shard", (F.col("within") + F.col("before")).alias("slot")
-    )
+    places = spark.createDataFrame(list(items[["item", "shard"]].astype("int64").itertuples(index=False, name=None)), "item long, shard int")
+    placed = rows.join(F.broadcast(places), "item")
+    placed = numbered(placed, "shard", int(items.groupby("shard")["rows"].sum().max()) if len(items) else 0, ["key", "crc", "size"], "slot")
+    return placed.select(F.col("key").alias(key), "size", "tokens", F.col("crc").alias("text_crc32"), "shard", "slot")

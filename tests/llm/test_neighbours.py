@@ -1,0 +1,76 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from askframe.llm import neighbours
+from askframe.llm.queries import op6_neighbours
+
+
+def by_hand(rows, queries, k):
+    found = {}
+    for q, v in queries:
+        scored = sorted((-float((np.array(w, float) * np.array(v, float)).sum()), i) for i, w in rows if i != q)
+        found[q] = [(i, -s) for s, i in scored[:k]]
+    return found
+
+
+def as_lists(rows):
+    found = {}
+    for r in sorted(rows, key=lambda r: (r.query_id, r["rank"])):
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r["rank"] == len(found[r.query_id])
+    return found
+
+
+def test_query_against_brute_force(spark, sf_dir):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    expected = by_hand(rows, [r for r in rows if r[0] % 20 == 0], 20)
+    found = as_lists(op6_neighbours(spark, sf_dir).collect())
+    assert found.keys() == expected.keys()
+    for q in expected:
+        assert [i for i, _ in found[q]] == [i for i, _ in expected[q]]
+        assert [s for _, s in found[q]] == pytest.approx([s for _, s in expected[q]], abs=1e-12)
+
+
+def test_recall_over_blocks_with_a_hot_vector(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 1500)
+    monkeypatch.setattr(neighbours, "QUERIES", 40)
+    monkeypatch.setattr(neighbours, "LEAST", 100)
+    rng = np.random.default_rng(2)
+    v = rng.standard_normal((4000, 24))
+    v[::3] = v[0]  # a third of all rows
+    rows = [(i, list(map(float, x))) for i, x in enumerate(v)]
+    expected = by_hand(rows, [rows[i] for i in range(0, 4000, 50)], 10)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = as_lists(neighbours.nearest(frame, F.col("vec_id") % 50 == 0, k=10).collect())
+    hits = [len({i for i, _ in found[q]} & {i for i, _ in expected[q]}) / 10 for q in expected]
+    assert np.mean(hits) >= 0.9
+    # Among equal vectors the smaller ids come first.
+    assert [i for i, _ in found[0]] == [i for i, _ in expected[0]]
+
+
+def test_odd_rows(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(0, [1.0, 0.0]), (1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0]), (None, [1.0, 1.0])]
+    rows += [(20, [0.5, 0.5]), (20, [0.5, 0.5]), (8, [0.5, 0.5])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = as_lists(neighbours.nearest(frame, F.col("vec_id") % 20 == 0).collect())
+    assert found == {0: [(8, 0.5), (20, 0.5)], 20: [(0, 0.5), (8, 0.5)]}
+    assert neighbours.nearest(frame.limit(0), F.col("vec_id") % 20 == 0).collect() == []
+    assert neighbours.nearest(frame.where("vec_id = 0"), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_footrule_by_files():
+    """min(near, near') over common pivots is a constant minus half the footrule distance."""
+    rng = np.random.default_rng(0)
+    order = np.array([rng.permutation(12)[:6] for _ in range(5)], dtype=np.int16)
+    files = neighbours.post(order, 12)
+
+    def place(row, pivot):
+        return list(row).index(pivot) if pivot in row else 6
+
+    for a in order:
+        for j, b in enumerate(order):
+            footrule = sum(abs(place(a, p) - place(b, p)) for p in range(12))
+            near = sum(min(files[p, j], 6 - i) for i, p in enumerate(a))
+            assert footrule == 2 * (sum(range(1, 7)) - near)

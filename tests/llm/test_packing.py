@@ -1,0 +1,56 @@
+from itertools import combinations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from askframe.llm import common, packing
+
+
+def cost(counts, longest, ends):
+    starts = [0, *[e + 1 for e in ends[:-1]]]
+    return sum(sum(counts[a : e + 1]) * max(longest[e], 1) for a, e in zip(starts, ends))
+
+
+def test_boundaries_are_optimal():
+    rng = np.random.default_rng(1)
+    for n, buckets in ((1, 3), (4, 2), (8, 3), (9, 9), (7, 20)):
+        counts, longest = rng.integers(1, 50, n), np.sort(rng.choice(300, n, replace=False))
+        found = packing.boundaries(counts, longest, buckets)
+        every = [[*c, n - 1] for k in range(min(buckets, n)) for c in combinations(range(n - 1), k)]
+        assert found[-1] == n - 1 and len(found) <= buckets
+        assert cost(counts, longest, found) == min(cost(counts, longest, ends) for ends in every)
+    assert packing.boundaries(np.array([]), np.array([]), 4) == []
+
+
+def test_cells_follow_lengths(spark):
+    lengths = [*range(200), 255, 256, 257, 1023, 1024, 10**6, 10**12, 2**62]
+    rows = spark.createDataFrame([(n,) for n in lengths], "n long").select("n", packing.cell(F.col("n")).alias("c")).orderBy("n").collect()
+    cells = [r.c for r in rows]
+    assert cells == sorted(cells) and len(set(cells[:64])) == 64 and max(cells) < 4000
+    for a, b in zip(rows, rows[1:]):
+        if a.c == b.c:
+            assert b.n - a.n <= a.n / 31
+
+
+def test_batches(spark, monkeypatch):
+    monkeypatch.setattr(common, "ROWS_PER_RUN", 40)
+    length = F.when(F.col("id") % 3 == 0, 17).when(F.col("id") % 100 == 1, None).otherwise(F.col("id") * 37 % 900)
+    rows = spark.range(1500).select(F.col("id").alias("doc_id"), length.alias("n"), F.lit("x").alias("slot"))
+    rows = rows.unionByName(spark.createDataFrame([(None, 5000, "x"), (3, 17, "x"), (3, 17, "x")], "doc_id long, n int, slot string"))
+    found = packing.pack(rows, F.col("n"), buckets=5, budget=2000).collect()
+    assert len(found) == 1503
+    by_batch = {}
+    for r in found:
+        assert r.n_tokens == (r.n or 0) and r.pad_to >= max(r.n_tokens, 1)
+        by_batch.setdefault((r.bucket, r.batch), []).append(r)
+    last = {}
+    for (bucket, batch), members in by_batch.items():
+        admits = max(1, 2000 // members[0].pad_to)
+        assert sorted(r.slot for r in members) == list(range(len(members)))
+        assert len(members) <= admits
+        last.setdefault(bucket, []).append((batch, len(members) == admits))
+    for batches in last.values():
+        batches.sort()
+        assert [b for b, _ in batches] == list(range(len(batches))) and all(full for _, full in batches[:-1])
+    assert packing.pack(rows.limit(0), F.col("n")).collect() == []
+    assert [r.bucket for r in packing.pack(rows.limit(1), F.col("n")).collect()] == [0]
