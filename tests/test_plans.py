@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
+from askframe.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,9 +13,9 @@ def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(driver.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_pairs_and_no_python_per_row(spark, key):
-    text = plan(driver.queries()[key](spark, SF_DIR))
+    text = plan(QUERIES[key](spark, SF_DIR))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert operator not in text
 
@@ -25,7 +25,7 @@ def test_no_pairs_and_no_python_per_row(spark, key):
     ["next_year_greeting", "greeting_bad_age", "newline_count", "path_parts", "dated_archive_name", "prefix_backup_first_run"],
 )
 def test_projections_do_not_shuffle(spark, key):
-    assert "Exchange" not in plan(driver.queries()[key](spark, SF_DIR))
+    assert "Exchange" not in plan(QUERIES[key](spark, SF_DIR))
 
 
 @pytest.mark.parametrize(
@@ -43,16 +43,16 @@ def test_projections_do_not_shuffle(spark, key):
     ],
 )
 def test_only_needed_columns_are_read(spark, key, columns):
-    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan(driver.queries()[key](spark, SF_DIR)))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan(QUERIES[key](spark, SF_DIR)))
     assert {field.split(":")[0] for schema in schemas for field in schema.split(",")} == columns
 
 
 @pytest.mark.parametrize("key, shuffles", [("newline_total_by_source", 1), ("newline_total", 1), ("backup_by_kind", 0)])
 def test_shuffles(spark, key, shuffles):
-    assert plan(driver.queries()[key](spark, SF_DIR)).count("Exchange ") == shuffles
+    assert plan(QUERIES[key](spark, SF_DIR)).count("Exchange ") == shuffles
 
 
 @pytest.mark.parametrize("key", ["newline_total_by_source", "directory_listing", "find_name_exists"])
 def test_aggregation_starts_within_tasks(spark, key):
-    before_shuffle = plan(driver.queries()[key](spark, SF_DIR)).rsplit("Exchange ", 1)[1]
+    before_shuffle = plan(QUERIES[key](spark, SF_DIR)).rsplit("Exchange ", 1)[1]
     assert "Aggregate" in before_shuffle.split("FileScan")[0]

@@ -6,6 +6,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as driver
+from askframe.plans.oracles import ORACLES
+from askframe.plans.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 SF_DIR = Path("/root/testdata/sf0.001")
@@ -25,18 +27,19 @@ def same_type(spark_type, sql_type):
 
 
 def test_every_query_has_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= driver.queries().items() and ORACLES.items() <= driver.oracle_sql().items()
 
 
-@pytest.mark.parametrize("key", sorted(driver.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_sql(spark, oracle, key):
-    result = driver.queries()[key](spark, str(SF_DIR))
-    relation = oracle.sql(driver.oracle_sql()[key])
+    result = QUERIES[key](spark, str(SF_DIR))
+    relation = oracle.sql(ORACLES[key])
     columns = sorted(result.columns)
     assert columns == sorted(relation.columns)
     types = dict(zip(relation.columns, map(str, relation.types)))
     assert all(same_type(kind, types[name]) for name, kind in result.dtypes)
-    expected = oracle.sql(f"SELECT {', '.join(columns)} FROM ({driver.oracle_sql()[key]})").fetchall()
+    expected = oracle.sql(f"SELECT {', '.join(columns)} FROM ({ORACLES[key]})").fetchall()
     assert Counter(map(tuple, result.select(*columns).collect())) == Counter(expected)
 
 
