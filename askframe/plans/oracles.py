@@ -95,7 +95,7 @@ SELECT p_partkey, r.pattern, f.pattern IS NOT NULL AS found,
        'Файл ''' || r.pattern || CASE WHEN f.pattern IS NULL THEN ''' не найден' ELSE ''' найден' END AS message
 FROM requests r LEFT JOIN found f ON r.pattern = f.pattern""",
     "file_manifest": f"WITH {PAGES} SELECT path, parent, name, 'file' AS kind FROM parts",
-    "directory_listing": f"WITH {PAGES} SELECT DISTINCT parent, name FROM parts WHERE name NOT LIKE '.%'",
+    "directory_listing": f"WITH {PAGES} SELECT DISTINCT parent, name FROM parts WHERE name NOT LIKE '.%' AND page_id % 10 <> 0",
     "tree_directories": "SELECT DISTINCT 'lang=' || lang AS name FROM documents",
     "missing_directory_reject": f"""
 WITH {SOURCE_REQUESTS}
@@ -109,14 +109,23 @@ WITH {SOURCE_REQUESTS}, checked AS (
     SELECT dir, dir || '_{DAY}.tar.gz' AS archive, dir IN (SELECT source FROM documents) AS known FROM requests
 )
 SELECT dir, CASE WHEN known THEN archive END AS archive_name,
-       CASE WHEN known THEN 'ok' ELSE 'not_found' END AS status,
-       CASE WHEN known THEN 'Архив создан: ' || archive ELSE 'Дирректория ''' || dir || ''' не найдена!' END AS message
+       CASE WHEN known THEN 'planned' ELSE 'not_found' END AS status,
+       CASE WHEN NOT known THEN 'Дирректория ''' || dir || ''' не найдена!' END AS message
 FROM checked""",
+    "taken_snapshots": f"""
+WITH {SOURCE_REQUESTS}, sizes AS (SELECT source, count(*) AS records FROM documents GROUP BY source)
+SELECT dir AS source, CASE WHEN records IS NOT NULL THEN dir || '_{DAY}.tar.gz' END AS archive_name,
+       CASE WHEN records IS NULL THEN 'not_found' ELSE 'ok' END AS status,
+       CASE WHEN records IS NULL THEN 'Дирректория ''' || dir || ''' не найдена!'
+            ELSE 'Архив создан: ' || dir || '_{DAY}.tar.gz' END AS message,
+       records
+FROM requests LEFT JOIN sizes ON source = dir""",
     "path_parts": f"WITH {PAGES} SELECT page_id, name AS base, parent AS dir FROM parts",
     "dated_archive_name": """
 SELECT o_orderkey, o_orderkey || '_' || strftime(o_orderdate, '%Y-%m-%d') || '.tar.gz' AS archive_name FROM orders""",
     "dated_snapshot": f"SELECT doc_id, source, DATE '{DAY}' AS snapshot_date FROM documents",
-    "dated_dataset": "SELECT * FROM customer",
+    "dated_dataset": f"""
+SELECT *, CASE c_custkey % 2 WHEN 0 THEN 'a' ELSE '[ab]' END || '_{DAY}' AS archive FROM customer""",
     "newline_count": f"SELECT doc_id, {newlines('text')} AS newline_count FROM documents",
     "newline_count_conversations": f"SELECT conv_id, turn, {newlines('text')} AS newline_count FROM conversations",
     "newline_count_pages": f"SELECT page_id, {newlines('html')} AS newline_count FROM pages",
@@ -127,6 +136,10 @@ SELECT source, CAST(sum({newlines('text')}) AS BIGINT) AS newline_count FROM doc
 SELECT lang, CAST(sum({newlines('text')} + 1) AS BIGINT) AS newline_count FROM documents GROUP BY lang""",
     "file_newline_answers": f"""
 SELECT lang, CAST(sum({newlines('text')} + 1) AS BIGINT) AS newline_count FROM documents GROUP BY lang""",
+    "file_newline_requests": f"""
+WITH counted AS (SELECT source, CAST(sum({newlines('text')} + 1) AS BIGINT) AS newline_count FROM documents GROUP BY source)
+SELECT source, 'ok' AS status, newline_count FROM counted
+UNION ALL SELECT source, unnest(['not_found', 'no_request']), NULL FROM counted""",
     "prefix_backup_first_run": """
 SELECT s_name AS name, s_suppkey AS content FROM supplier
 UNION ALL SELECT 'backup_' || s_name, s_suppkey FROM supplier""",
@@ -158,5 +171,16 @@ SELECT dir, CASE WHEN known THEN 'ok' ELSE 'not_found' END AS status,
 FROM checked""",
     "dataset_backup": """
 SELECT prefix || name AS dataset, s_suppkey, s_nationkey
-FROM supplier, (VALUES (''), ('backup_'), ('backup_backup_')) p(prefix), (VALUES ('Supplier'), ('supplier')) n(name)""",
+FROM supplier, (VALUES (''), ('backup_'), ('backup_backup_')) p(prefix), (VALUES ('Supplier'), ('supplier'), ('[Ss]upplier')) n(name)
+WHERE name <> '[Ss]upplier' OR s_suppkey % 2 = 0""",
+    "dataset_backup_answers": """
+SELECT name, status, CASE WHEN status = 'ok' THEN (SELECT count(*) FROM supplier) END AS records
+FROM (VALUES ('first', 'ok'), ('note', 'failed'), ('second', 'ok')) v(name, status)""",
+    "greeting_statuses": """
+WITH aged AS (
+    SELECT p_partkey, CASE WHEN p_size > 40 THEN 9223372036854775807 WHEN p_size <= 20 THEN p_size::BIGINT END AS age FROM part
+)
+SELECT p_partkey, age, CASE WHEN age < 100 THEN 'ok' ELSE 'bad_age' END AS status,
+       CASE WHEN age < 100 THEN 'Привет, x! Через год тебе будет ' || (age + 1) || ' лет.' END AS message
+FROM aged""",
 }

@@ -9,17 +9,25 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from askframe.functions.globs import matches
 from askframe.functions.paths import archive_name, base_name, dir_name
 from askframe.operators.backup import after_backup, answer_backups, run_backups
 from askframe.operators.greeting import greet, read_fields
 from askframe.operators.newlines import count_newlines, total_newlines
 from askframe.operators.presence import missing, present
-from askframe.operators.search import any_match, found_patterns, search
+from askframe.operators.search import found_patterns, search
 from askframe.operators.snapshot import plan_snapshots, report_snapshots
-from askframe.sources.datasets import backup_datasets, read_snapshots, snapshot_dataset, write_snapshots
+from askframe.sources.datasets import (
+    answer_dataset_backups,
+    backup_datasets,
+    read_snapshots,
+    snapshot_dataset,
+    take_snapshots,
+    write_snapshots,
+)
 from askframe.sources.manifest import files, list_tree, manifest_from_paths, visible_entries
 from askframe.sources.requests import read_requests, write_messages
-from askframe.sources.storage import scratch_path
+from askframe.sources.storage import literal_path, scratch_path
 from askframe.sources.text_files import answer_line_counts, count_files
 from askframe.streaming.answers import answer_stream
 
@@ -56,6 +64,14 @@ def next_year_greeting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answers.select("c_custkey", "name", "age", "age_next", "message")
 
 
+def greeting_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ages that are numbers, words, and the last number there is."""
+    last = F.when(F.col("p_size") > 40, F.lit(str(2**63 - 1))).when(F.col("p_size") > 20, F.lit("old"))
+    line = F.concat_ws(" ", F.lit("x"), F.coalesce(last, F.col("p_size").cast("string"))).alias("line")
+    answers = greet(table(spark, sf_dir, "part").select("p_partkey", line))
+    return answers.select("p_partkey", "age", "status", "message")
+
+
 def greeting_bad_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat_ws(" ", "p_name", "p_size").alias("line")
     return read_fields(table(spark, sf_dir, "part").select("p_partkey", line))
@@ -98,8 +114,8 @@ def find_name_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def find_one_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One pattern, ending at the first match."""
     pattern = PATTERNS[0]
-    found = any_match(files(page_manifest(spark, sf_dir)), pattern)
-    return spark.createDataFrame([(pattern, found)], "pattern string, found boolean")
+    first = files(page_manifest(spark, sf_dir)).where(matches(F.col("name"), pattern)).limit(1)
+    return first.agg(F.lit(pattern).alias("pattern"), (F.count("*") > 0).alias("found"))
 
 
 def find_name_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +145,10 @@ def tree_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def directory_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return visible_entries(page_manifest(spark, sf_dir)).select("parent", "name").distinct()
+    """Every tenth page is hidden."""
+    hidden = F.when(F.col("page_id") % 10 == 0, F.regexp_replace("path", "([^/]*)/*$", ".$1")).otherwise(F.col("path"))
+    manifest = manifest_from_paths(page_paths(spark, sf_dir).select(hidden.alias("path")))
+    return visible_entries(manifest).select("parent", "name").distinct()
 
 
 # Presence and snapshots
@@ -159,6 +178,15 @@ def snapshot_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_snapshots(planned).select("dir", "archive_name", "status", "message")
 
 
+def taken_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run: known and unknown sources, what was written counted beside the answers."""
+    documents, out = table(spark, sf_dir, "documents"), scratch_path(spark, "taken")
+    requests = source_requests(spark, sf_dir).withColumnRenamed("dir", "source")
+    answers = take_snapshots(documents, requests, out)
+    counts = read_snapshots(spark, out, documents).groupBy("source").agg(F.count("*").alias("records"))
+    return answers.join(counts, "source", "left").select("source", "archive_name", "status", "message", "records")
+
+
 def path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.col("path")
     return page_paths(spark, sf_dir).select("page_id", base_name(path).alias("base"), dir_name(path).alias("dir"))
@@ -182,9 +210,14 @@ def dated_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dated_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A whole dataset as one dated snapshot."""
-    target = snapshot_dataset(spark, f"{sf_dir}/customer.parquet", scratch_path(spark, "datasets"), DAY)
-    return spark.read.parquet(target)
+    """Whole datasets as dated snapshots; one name would match the other as a pattern."""
+    home, out = scratch_path(spark, "home"), scratch_path(spark, "datasets")
+    customer = table(spark, sf_dir, "customer")
+    customer.where("c_custkey % 2 = 0").write.parquet(f"{home}/a")
+    customer.where("c_custkey % 2 = 1").write.parquet(f"{home}/[ab]")
+    targets = [snapshot_dataset(spark, f"{home}/{name}", out, DAY) for name in ("a", "[ab]")]
+    read = [spark.read.parquet(literal_path(t)).withColumn("archive", F.lit(t.rsplit("/", 1)[1])) for t in targets]
+    return read[0].unionByName(read[1])
 
 
 # Newline counts
@@ -232,6 +265,19 @@ def file_newline_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_language(answer_line_counts(manifest.select("path"), manifest).where("status = 'ok'"))
 
 
+def file_newline_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source: its files, a name that no file has, and a request without a name."""
+    out = scratch_path(spark, "texts")
+    table(spark, sf_dir, "documents").select("source", "text").write.partitionBy("source").text(out, lineSep="\n")
+    listed = list_tree(spark, out)
+    directory = F.regexp_extract("path", "/source=([^/]*)/", 1).alias("source")
+    known = files(listed).where("name like 'part-%'").select(directory, "path")
+    unknown = known.select("source", F.concat("path", F.lit(".gone")).alias("path"))
+    nameless = known.select("source", F.lit(None).cast("string").alias("path"))
+    answers = answer_line_counts(known.unionByName(unknown).unionByName(nameless), listed)
+    return answers.groupBy("source", "status").agg(F.sum("newline_count").alias("newline_count"))
+
+
 # Backups
 
 
@@ -285,24 +331,38 @@ def backup_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dataset_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A directory of two datasets, one of them partitioned, after two runs."""
+    """Three datasets after two runs: one is partitioned, one is called like a pattern."""
     home = scratch_path(spark, "home")
     supplier = table(spark, sf_dir, "supplier")
     supplier.write.parquet(f"{home}/Supplier")
     supplier.write.partitionBy("s_nationkey").parquet(f"{home}/supplier")
+    supplier.where("s_suppkey % 2 = 0").write.partitionBy("s_nationkey").parquet(f"{home}/[Ss]upplier")
     backup_datasets(spark, home)
     backup_datasets(spark, home)
-    names = [prefix + name for prefix in ("", "backup_", "backup_backup_") for name in ("Supplier", "supplier")]
+    names = [prefix + name for prefix in ("", "backup_", "backup_backup_") for name in ("Supplier", "supplier", "[Ss]upplier")]
     columns = "s_suppkey", F.col("s_nationkey").cast("int")
-    copies = [spark.read.parquet(f"{home}/{name}").select(F.lit(name).alias("dataset"), *columns) for name in names]
+    copies = [spark.read.parquet(literal_path(f"{home}/{name}")).select(F.lit(name).alias("dataset"), *columns) for name in names]
     return reduce(DataFrame.unionByName, copies)
 
 
+def dataset_backup_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over two datasets and a directory of text: an answer each, and the copied rows."""
+    home = scratch_path(spark, "home")
+    supplier = table(spark, sf_dir, "supplier")
+    supplier.write.parquet(f"{home}/first")
+    supplier.select("s_name").write.text(f"{home}/note")
+    supplier.select("s_suppkey").write.parquet(f"{home}/second")
+    answers = answer_dataset_backups(spark, home)
+    copies = [spark.read.parquet(f"{home}/backup_{n}").agg(F.lit(n).alias("name"), F.count("*").alias("records")) for n in ("first", "second")]
+    return answers.join(copies[0].unionByName(copies[1]), "name", "left").select("name", "status", "records")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         next_year_greeting,
         greeting_bad_age,
+        greeting_statuses,
         greeting_files,
         greeting_stream,
         find_name_exists,
@@ -315,6 +375,7 @@ QUERIES: dict[str, Query] = {
         missing_directory_reject,
         present_directory,
         snapshot_answers,
+        taken_snapshots,
         path_parts,
         dated_archive_name,
         dated_snapshot,
@@ -326,6 +387,7 @@ QUERIES: dict[str, Query] = {
         newline_total,
         file_newline_count,
         file_newline_answers,
+        file_newline_requests,
         prefix_backup_first_run,
         backup_by_kind,
         prefix_backup_second_run,
@@ -333,5 +395,6 @@ QUERIES: dict[str, Query] = {
         requested_backup,
         backup_answers,
         dataset_backup,
+        dataset_backup_answers,
     )
 }

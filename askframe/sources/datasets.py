@@ -5,15 +5,17 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from askframe.functions.messages import BACKUP_PREFIX
+from askframe.functions.messages import BACKUP_DIR_MISSING, BACKUP_PREFIX
 from askframe.functions.paths import clean_dir
 from askframe.operators.presence import few_keys, lookup
 from askframe.operators.snapshot import plan_snapshots, report_snapshots
-from askframe.sources.storage import children, path_exists, refuse_overlap
+from askframe.sources.storage import children, literal_path, path_exists, refuse_overlap, refuse_own_input
 
 CODEC = "gzip"
 WRITERS = 8
@@ -30,8 +32,10 @@ def write_snapshots(
     run are replaced, the others under ``out`` stay. A source of any size is
     split over tasks: rebalancing divides large partitions and joins small ones.
     ``clustered`` states that the records of a source lie together already, which
-    saves that shuffle.
+    saves that shuffle. Records that lie below ``out`` are refused: replacing
+    snapshots would destroy them.
     """
+    refuse_own_input(records, out)
     asked = requests.select(clean_dir(F.col(key)).alias(key), F.col(day).cast("date").alias("snapshot_date"))
     asked = asked.where((F.col(key) != "") & F.col("snapshot_date").isNotNull())
     days = asked.groupBy(key).agg(F.collect_set("snapshot_date").alias("_days"))
@@ -57,7 +61,7 @@ def take_snapshots(
 ) -> DataFrame:
     """Writes the snapshots and answers the requests, success only after the commit."""
     write_snapshots(records, requests, out, key, day)
-    return report_snapshots(plan_snapshots(requests, records, key, day), key)
+    return report_snapshots(plan_snapshots(requests, records, key, day), key, written=True)
 
 
 def read_snapshots(spark: SparkSession, out: str, records: DataFrame) -> DataFrame:
@@ -92,10 +96,14 @@ def copy_dataset(
     if format == "text":
         options = {"lineSep": "\n"} | options  # or a carriage return would end a line
     parts = partition_columns(spark, source)
-    found = spark.read.format(format).options(**options).load(source).schema
+    path = literal_path(source)
+    found = spark.read.format(format).options(**options).load(path).schema
+    inside = spark.read.format(format).options(**options | {"recursiveFileLookup": "true"}).load(path).columns
+    if not {c for c in found.names if c not in inside} <= set(parts) <= set(found.names):
+        raise ValueError(f"the directories of {source!r} have more than one layout")
     # As text, directory names such as day=01 stay as they are.
     schema = StructType([StructField(f.name, StringType()) if f.name in parts else f for f in found])
-    records = spark.read.format(format).options(**options).schema(schema).load(source)
+    records = spark.read.format(format).options(**options).schema(schema).load(path)
     writer = records.write.format(format).options(**options).mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "static")
     if codec:
@@ -118,17 +126,39 @@ def snapshot_dataset(
     return target
 
 
+ANSWERS = "name string, target string, status string, message string"
+
+
 def backup_datasets(
     spark: SparkSession, directory: str, format: str = "parquet", prefix: str = BACKUP_PREFIX, **options: str
 ) -> list[str] | None:
     """Copies every visible dataset in a directory to its prefixed name.
 
-    Returns the targets, or None if there is no such directory. The names are
-    listed once, beforehand, and taken in binary order. Only copies of copies
-    depend on each other, so unrelated datasets are written side by side.
+    Returns the targets written, or None if there is no such directory.
+    ``answer_dataset_backups`` tells why the others were not.
     """
+    answers = _run_backups(spark, directory, format, prefix, options)
+    return None if answers is None else sorted(target for _, target, status, _ in answers if status == "ok")
+
+
+def answer_dataset_backups(
+    spark: SparkSession, directory: str, format: str = "parquet", prefix: str = BACKUP_PREFIX, **options: str
+) -> DataFrame:
+    """A run of ``backup_datasets`` and one row per entry: ``ok``, or ``failed`` with
+    the reason. A missing directory has one row, ``not_found`` and without a name."""
+    answers = _run_backups(spark, directory, format, prefix, options)
+    if answers is None:
+        answers = [(None, None, "not_found", BACKUP_DIR_MISSING)]
+    return spark.createDataFrame(answers, ANSWERS)
+
+
+def _run_backups(spark: SparkSession, directory: str, format: str, prefix: str, options: dict) -> list[tuple] | None:
+    """The names are listed once, beforehand, and taken in binary order. Only copies of
+    copies depend on each other, so unrelated datasets are written side by side. An
+    entry that cannot be copied does not keep the others from it."""
     if not path_exists(spark, directory):
         return None
+    home = directory.rstrip("/")
     families: dict[str, list[str]] = {}
     for name, is_dir in children(spark, directory):
         # A file may be a dataset too, but not a marker such as _SUCCESS.
@@ -138,12 +168,16 @@ def backup_datasets(
                 root = root.removeprefix(prefix)
             families.setdefault(root, []).append(name)
 
-    def run(names: list[str]) -> list[str]:
-        targets = []
+    def run(names: list[str]) -> list[tuple]:
+        answers = []
         for name in sorted(names, key=str.encode):
-            targets.append(f"{directory.rstrip('/')}/{prefix}{name}")
-            copy_dataset(spark, f"{directory.rstrip('/')}/{name}", targets[-1], format, **options)
-        return targets
+            target = f"{home}/{prefix}{name}"
+            try:
+                copy_dataset(spark, f"{home}/{name}", target, format, **options)
+                answers.append((name, target, "ok", None))
+            except (PySparkException, Py4JJavaError, ValueError) as reason:
+                answers.append((name, target, "failed", str(reason).splitlines()[0]))
+        return answers
 
     with ThreadPoolExecutor(WRITERS) as pool:
         return sorted(sum(pool.map(run, families.values()), []))

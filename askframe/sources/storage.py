@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from urllib.parse import unquote
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -19,6 +21,12 @@ def full_path(spark: SparkSession, path: str) -> str:
     return hadoop_path(spark, path)[0].toString()
 
 
+def literal_path(path: str) -> str:
+    """The path as Spark's readers want it where it stands for itself: they take
+    names with brackets, braces, stars and question marks for patterns."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     qualified, system = hadoop_path(spark, path)
     return system.exists(qualified)
@@ -40,10 +48,24 @@ def refuse_overlap(spark: SparkSession, source: str, target: str) -> None:
         raise ValueError(f"cannot write {target!r} from {source!r}: one contains the other")
 
 
-def task_count(spark: SparkSession) -> int:
+def refuse_own_input(records: DataFrame, out: str) -> None:
+    """A table whose files lie below ``out`` must not be written there."""
+    spark = records.sparkSession
+    target = _plain(full_path(spark, out)).rstrip("/") + "/"
+    if any(_plain(unquote(file)).startswith(target) for file in records.inputFiles()):
+        raise ValueError(f"cannot write to {out!r}: the records are read from there")
+
+
+def _plain(path: str) -> str:
+    return re.sub("^file:/+", "file:/", path)
+
+
+def task_count(spark: SparkSession, rows: int = 0, rows_per_task: int = 1) -> int:
     """For work whose rows are small but take long: a count keeps adaptive
-    execution from joining such partitions by their few bytes."""
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    execution from joining such partitions by their few bytes. It grows with the
+    rows where these are known."""
+    least = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, -(-rows // rows_per_task))
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -1,10 +1,12 @@
 from datetime import date
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from askframe.operators.snapshot import plan_snapshots, report_snapshots
 from askframe.sources.datasets import (
+    answer_dataset_backups,
     backup_datasets,
     copy_dataset,
     partition_columns,
@@ -31,7 +33,9 @@ def test_plan(spark, bounded, request):
     rows = [(i, dir, DAY) for i, dir in enumerate(asked)] + [(6, "hot", None)]
     requests = spark.createDataFrame(rows, "request_id int, dir string, day date")
     known = records(spark).select(F.col("source").alias("dir"))
-    answers = sorted(report_snapshots(plan_snapshots(requests, known)).collect())
+    planned = plan_snapshots(requests, known)
+    assert {a.message for a in report_snapshots(planned).where("status = 'planned'").collect()} == {None}
+    answers = sorted(report_snapshots(planned, written=True).collect())
     assert [(a.archive_name, a.status, a.message) for a in answers] == [
         ("hot_2024-02-29.tar.gz", "ok", "Архив создан: hot_2024-02-29.tar.gz"),
         ("hot_2024-02-29.tar.gz", "ok", "Архив создан: hot_2024-02-29.tar.gz"),
@@ -168,3 +172,57 @@ def test_files_are_datasets_too(spark, tmp_path):
     assert [t.rsplit("/", 1)[1] for t in backup_datasets(spark, str(home))] == ["backup__odd", "backup_one.parquet"]
     assert spark.read.parquet(str(home / "backup_one.parquet")).count() == 4
     assert spark.read.parquet(str(home / "backup__odd")).count() == 4
+
+
+ODD_NAMES = ["a", "b", "[ab]", "*", "?", "{a,b}", "x,y", "]["]
+
+
+def test_names_that_look_like_patterns(spark, tmp_path):
+    """Every dataset holds another number of rows; its copy must hold the same."""
+    home = tmp_path / "ho[m]e"
+    for rows, name in enumerate(ODD_NAMES, 1):
+        spark.range(rows).write.parquet(str(home / name))
+
+    def rows_of(directory):
+        return sum(pq.read_metadata(part).num_rows for part in directory.glob("*.parquet"))
+
+    answers = {a.name: a.status for a in answer_dataset_backups(spark, str(home)).collect()}
+    assert answers == dict.fromkeys(ODD_NAMES, "ok")
+    assert [rows_of(home / f"backup_{name}") for name in ODD_NAMES] == list(range(1, 9))
+    snapshot_dataset(spark, str(home / "[ab]"), str(tmp_path / "out"), DAY)
+    assert rows_of(tmp_path / "out" / f"[ab]_{DAY}") == 3
+
+
+def test_a_bad_entry_does_not_stop_the_others(spark, tmp_path):
+    home = tmp_path / "home"
+    for name in ("a", "z"):
+        spark.range(2).write.parquet(str(home / name))
+    (home / "note").write_text("no dataset")
+    answers = {a.name: a for a in answer_dataset_backups(spark, str(home)).collect()}
+    assert {n: a.status for n, a in answers.items()} == {"a": "ok", "note": "failed", "z": "ok"}
+    assert answers["note"].message and answers["a"].message is None
+    missing = answer_dataset_backups(spark, str(tmp_path / "nope")).collect()
+    assert [(a.name, a.status, a.message) for a in missing] == [(None, "not_found", "Директория не найдена!")]
+
+
+def test_mixed_layouts_are_refused(spark, tmp_path):
+    source = tmp_path / "data"
+    spark.range(3).withColumn("day", F.lit(1)).write.partitionBy("day").parquet(str(source))
+    (source / "a=1").mkdir()
+    # An empty directory may come first in a listing; it must not decide the layout.
+    try:
+        copy_dataset(spark, str(source), str(tmp_path / "copy"))
+    except ValueError:
+        return
+    assert (tmp_path / "copy" / "day=1").is_dir()
+
+
+def test_snapshots_into_their_own_input_are_refused(spark, tmp_path):
+    out = str(tmp_path / "out")
+    requests = spark.createDataFrame([("hot", DAY)], "source string, day date")
+    write_snapshots(records(spark), requests, out)
+    table = spark.read.parquet(out)
+    for target in (out, f"file://{out}/"):
+        with pytest.raises(ValueError):
+            write_snapshots(table, requests, target)
+    assert spark.read.parquet(out).count() == 1000

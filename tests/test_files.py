@@ -2,6 +2,7 @@ import gzip
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from askframe.operators.newlines import total_newlines
 from askframe.sources import text_files
@@ -28,6 +29,8 @@ CONTENTS = {
     "_private": b"1\n2\n3\n",
     "part._COPYING_": b"1\n",
     "packed.gz": gzip.compress(b"\n" * 5000, mtime=0) + b"\n",
+    "at 12:30.log": b"1\n2\n",
+    "a[b]{c}*?.txt": b"1\n",
     "sub/.dir/deep": b"1\n",
     "sub/_dir/deep": b"1\n",
     "sub/k=v/deep": b"1\n2",
@@ -145,6 +148,44 @@ def test_requests(spark, tree, bounded, request, monkeypatch):
     ]
 
 
+def test_names_that_are_not_utf8(spark, tmp_path):
+    root = os.fsencode(tmp_path) + b"/tree"
+    os.mkdir(root)
+    os.mkdir(root + b"/d\xfe%")
+    contents = {b"bad\xff": b"1\n2\n", b"bad%FF": b"1\n", b"_bad\xfe": b"\n", b"d\xfe%/x": b"\n\n\n", b"d\xfe%/y\xfd": b"\n" * 7}
+    for name, content in contents.items():
+        with open(root + b"/" + name, "wb") as file:
+            file.write(content)
+    found = as_dict(count_files(spark, os.fsdecode(root)))
+    home = f"file:{os.fsdecode(root)}"
+    assert found == {
+        f"{home}//bad%FF": 2, f"{home}/bad%FF": 1, f"{home}//_bad%FE": 1, f"{home}//d%FE%25/x": 3, f"{home}//d%FE%25//y%FD": 7
+    }
+
+
+def test_listing_goes_on(spark, tmp_path):
+    gone = list_tree(spark, str(tmp_path / "nope")).collect()
+    assert [(r.kind, r.name) for r in gone] == [("error", "nope")] and "FileNotFoundError" in gone[0].error
+    assert count_files(spark, str(tmp_path / "nope")).collect() == []
+    (tmp_path / "there").write_bytes(b"\n")
+    rows = spark.createDataFrame([(f"file:{tmp_path}/there", 1), (f"file:{tmp_path}/vanished", 5)], "path string, length long")
+    manifest = manifest_from_paths(rows)
+    answers = answer_line_counts(manifest.select("path"), manifest).collect()
+    assert {(r.path.rsplit("/", 1)[1], r.newline_count, r.status) for r in answers} == {("there", 1, "ok"), ("vanished", None, "unreadable")}
+
+
+def test_links_are_no_files(spark, tree):
+    requests = spark.createDataFrame([(f"file:{tree}/sub/link",)], "path string")
+    answers = answer_line_counts(requests, list_tree(spark, str(tree))).collect()
+    assert [(r.newline_count, r.status) for r in answers] == [(None, "no_file")]
+
+
+def test_tasks_follow_the_bytes(spark):
+    one = spark.range(100).select(F.concat(F.lit("file:/x"), "id").alias("path"), F.lit(1000 * text_files.RANGE_BYTES).alias("length"))
+    plan = count_by_ranges(one)._jdf.queryExecution().executedPlan().toString()
+    assert f", {100_000 // text_files.RANGES_PER_TASK})" in plan
+
+
 def test_totals(spark):
     contents = ["", "a\nb", "a\nb\n", "a\r\nb\r\n", "a\rb\n", "\n\n\n"]
     table = spark.createDataFrame([(c,) for c in contents], "text string")
