@@ -45,6 +45,7 @@ NAMED_SETS = {
 START, END = "\x02", "\x03"
 END_LENGTH = 8
 INNER_LENGTH = 4
+SMALL_SET = 32
 
 
 @dataclass(frozen=True)
@@ -52,19 +53,19 @@ class Glob:
     """One translated pattern.
 
     ``runs`` holds, for every stretch between two stars, its pieces as
-    ``(regex, character or None)``. ``None`` in place of the list: the pattern
-    can match no name at all.
+    ``(regex, character or None, members of a small set or None)``. ``None`` in place
+    of the list: the pattern can match no name at all.
     """
 
     pattern: str
-    runs: list[list[tuple[str, str | None]]] | None
+    runs: list[list[tuple[str, str | None, str | None]]] | None
 
     @cached_property
     def texts(self) -> list[str] | None:
         """The stretches between the stars, if all of them are plain text."""
-        if self.runs is None or any(char is None for run in self.runs for _, char in run):
+        if self.runs is None or any(char is None for run in self.runs for _, char, _ in run):
             return None
-        return ["".join(char for _, char in run) for run in self.runs]
+        return ["".join(char for _, char, _ in run) for run in self.runs]
 
     @property
     def literal(self) -> str | None:
@@ -77,7 +78,7 @@ class Glob:
         always good enough between stars, so no match ever backtracks into them."""
         if self.runs is None:
             return "(?!)"
-        first, *rest = ["".join(regex for regex, _ in run) for run in self.runs]
+        first, *rest = ["".join(regex for regex, _, _ in run) for run in self.runs]
         if not rest:
             return rf"(?s)\A{first}\z"
         inner = "".join(f"(?>.*?{run})" for run in rest[:-1] if run)
@@ -88,7 +89,7 @@ class Glob:
         """The plain text every match begins with, ends with, and contains in between."""
         pieces: list[str | None] = [""]
         for run in self.runs or []:
-            pieces += [char for _, char in run] + [None]
+            pieces += [char for _, char, _ in run] + [None]
         pieces[-1] = ""
         texts = ["".join(chars) for plain, chars in groupby(pieces, key=lambda char: char is not None) if plain]
         return texts[0], texts[-1], [text for text in texts[1:-1] if text]
@@ -116,6 +117,32 @@ class Glob:
         return sorted(pieces)
 
 
+    @property
+    def either(self) -> list[str]:
+        """For a pattern without anchors that begins or ends with a small set: anchors
+        of which every matching name contains one."""
+        if not self.runs or self.anchors or START in self.pattern or END in self.pattern:
+            return []
+        first, last = self.runs[0][:1], self.runs[-1][-1:]
+        if first and first[0][2]:
+            return [START + char for char in first[0][2]]
+        return [char + END for char in last[0][2]] if last and last[0][2] else []
+
+    @property
+    def least(self) -> int:
+        """The characters a matching name has at least; exactly so many without a star."""
+        return sum(map(len, self.runs or []))
+
+    @property
+    def has_star(self) -> bool:
+        return len(self.runs or []) > 1
+
+    @property
+    def only_length(self) -> bool:
+        """Whether nothing but a name's length matters."""
+        return self.runs is not None and all(regex == "." for run in self.runs for regex, _, _ in run)
+
+
 def _quote(char: str) -> str:
     # A backslash is an escape only before ASCII letters and digits.
     return char if char.isalnum() or ord(char) > 127 else "\\" + char
@@ -138,21 +165,33 @@ def _character_set(outside: bool, members: str) -> str:
     return f"[{'^' if outside else ''}{body}]"
 
 
+def _small_set(outside: bool, members: str) -> str | None:
+    """The characters of a set that lists a few, in order."""
+    found: set[str] = set()
+    for member in _MEMBER.finditer(members):
+        named, low, high = member.group("named", "low", "high")
+        if outside or named is not None or ord(high or low) - ord(low) >= SMALL_SET:
+            return None
+        found.update(map(chr, range(ord(low), ord(high or low) + 1)))
+    return "".join(sorted(found)) if 0 < len(found) <= SMALL_SET else None
+
+
 def translate(pattern: str) -> Glob:
-    runs: list[list[tuple[str, str | None]]] = [[]]
+    runs: list[list[tuple[str, str | None, str | None]]] = [[]]
     for token in _TOKEN.finditer(pattern):
         quoted, wild, plain = token.group("quoted", "wild", "plain")
         if wild == "*":
             runs.append([])
         elif wild == "?":
-            runs[-1].append((".", None))
+            runs[-1].append((".", None, None))
         elif token.group("members") is not None:
-            runs[-1].append((_character_set(bool(token.group("outside")), token.group("members")), None))
+            outside, members = bool(token.group("outside")), token.group("members")
+            runs[-1].append((_character_set(outside, members), None, _small_set(outside, members)))
         elif plain == "\\":  # nothing left to quote
             return Glob(pattern, None)
         else:
             char = quoted if quoted is not None else plain
-            runs[-1].append((_quote(char), char))
+            runs[-1].append((_quote(char), char, None))
     if len(runs) > 2:
         runs = [runs[0], *filter(None, runs[1:-1]), runs[-1]]
     return Glob(pattern, None if runs == [[]] else runs)

@@ -6,15 +6,19 @@ names: one scan and one row per task to merge. More of them are joined:
 * patterns with some literal text by that text (their anchor), then verified, so
   that a name meets only the patterns it shares an anchor with: all of a plain
   name, a start or an end, or else a few characters anywhere;
-* patterns without any literal text, such as ``[0-4]??*``, in batches of
-  ``ONE_SCAN``.
+* patterns that begin or end with a small set, such as ``[0-4]??*``, by each of the
+  set's characters in the same way;
+* patterns of ``?`` and ``*`` alone by the lengths of names;
+* what remains, patterns with no text and no small set at an end, by length: a name
+  meets those of its length class.
+
+The plan has one size, however many patterns there are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import partial, reduce
-from itertools import batched
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -26,7 +30,9 @@ from askframe.operators.presence import distinct_keys, fits_broadcast, lookup, m
 from askframe.sources.storage import scratch_path, task_count
 
 ONE_SCAN = 64
-KINDS = ("whole", "start", "end", "inner")
+KINDS = ("start", "end", "inner")
+PATTERNS_PER_TASK = 20_000
+SALTS = 64
 
 
 def any_match(names: DataFrame, pattern: str, name: str = "name") -> bool:
@@ -81,7 +87,10 @@ def _match_in_one_scan(names: DataFrame, patterns: list[str]) -> DataFrame:
     return hits.select(F.explode(F.array_compact(F.array(*found))).alias("pattern"))
 
 
-DESCRIBED = "pattern string, regex string, whole boolean, start string, end string, anchors array<string>"
+DESCRIBED = (
+    "pattern string, regex string, whole boolean, start string, end string, anchors array<string>, "
+    "either array<string>, least int, has_star boolean, only_length boolean"
+)
 
 
 def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -98,35 +107,55 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "start": [glob.stretches[0] for glob in globs],
                 "end": [glob.stretches[1] for glob in globs],
                 "anchors": [glob.anchors for glob in globs],
+                "either": [glob.either for glob in globs],
+                "least": [glob.least for glob in globs],
+                "has_star": [glob.has_star for glob in globs],
+                "only_length": [glob.only_length for glob in globs],
             }
         )
 
 
+def _written(table: DataFrame, name: str) -> DataFrame:
+    """For what is read several times below: made once."""
+    scratch = scratch_path(table.sparkSession, name)
+    table.write.parquet(scratch)
+    return table.sparkSession.read.schema(table.schema).parquet(scratch)
+
+
 def _match_by_join(names: DataFrame, wanted: DataFrame) -> tuple[DataFrame, bool]:
     spark = wanted.sparkSession
-    # Read several times below: written once, translated once.
-    scratch = scratch_path(spark, "patterns")
-    spread = wanted.repartition(task_count(spark))
-    spread.mapInPandas(_describe, DESCRIBED).write.parquet(scratch)
-    described = spark.read.schema(DESCRIBED).parquet(scratch)
-    # One measure for all that comes of this table: each is a part of it.
-    small = fits_broadcast(described)
-    keyed = _rarest_anchor(described, small)
-    shapes = keyed.select("kind", F.length("anchor").alias("size")).distinct().collect()
+    spread = wanted.repartition(task_count(spark, wanted.count(), PATTERNS_PER_TASK))
+    described = _written(spread.mapInPandas(_describe, DESCRIBED), "patterns")
+    keyed = _written(_rarest_anchor(described).unionByName(_each_of_a_set(described)), "anchors")
+    small = fits_broadcast(keyed)
+    shapes = keyed.where("kind != 'whole'").select("kind", F.length("anchor").alias("size")).distinct().collect()
     sizes = {kind: sorted(row["size"] for row in shapes if row.kind == kind) for kind in KINDS}
-    found = []
-    if sizes["whole"] or sizes["start"] or sizes["end"]:
-        found.append(_verified(names, keyed.where("kind != 'inner'"), small, partial(_cut_ends, sizes=sizes)))
+    found = [_verified(names, keyed.where("kind != 'inner'"), small, partial(_cut_ends, sizes=sizes))]
     if sizes["inner"]:
         found.append(_verified(names, keyed.where("kind = 'inner'"), small, partial(_cut_inside, sizes=sizes["inner"])))
-    loose = described.where("size(anchors) = 0").select("pattern")
-    found += [_match_in_one_scan(names, batch) for batch in _batches(loose)]
-    return reduce(DataFrame.unionByName, found or [wanted.limit(0)]), small
-
-
-def _batches(patterns: DataFrame) -> Iterator[list[str]]:
-    for rows in batched(patterns.toLocalIterator(), ONE_SCAN):
-        yield [row.pattern for row in rows]
+    loose = described.where("size(anchors) = 0 and size(either) = 0").select("pattern", "regex", "least", "has_star", "only_length")
+    if not loose.isEmpty():
+        found += _match_by_length(names, loose)
+    return reduce(DataFrame.unionByName, found), fits_broadcast(described.select("pattern"))
+
+
+def _match_by_length(names: DataFrame, loose: DataFrame) -> list[DataFrame]:
+    """Patterns without text. Names have few different lengths; those are collected."""
+    lengths = sorted(row["size"] for row in names.where("name is not null").select(F.length("name").alias("size")).distinct().collect())
+    known = F.array(*map(F.lit, lengths)).cast("array<int>")
+    fitting = F.filter(known, lambda size: F.when(F.col("has_star"), size >= F.col("least")).otherwise(size == F.col("least")))
+    fitted = loose.withColumn("sizes", fitting).where("size(sizes) > 0")
+    by_size = fitted.where("not only_length").select("pattern", "regex", F.explode("sizes").alias("size"))
+    distinct = names.distinct().withColumn("size", F.length("name"))
+    if fits_broadcast(by_size):
+        candidates = distinct.join(F.broadcast(by_size), "size")
+    else:
+        # Few lengths: names are dealt out by a salt as well, patterns go to every salt.
+        salt = F.pmod(F.xxhash64("name"), F.lit(SALTS)).cast("int")
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        candidates = distinct.withColumn("salt", salt).join(by_size.withColumn("salt", salts), ["size", "salt"])
+    found = candidates.where(F.expr("name rlike regex")).select("pattern").distinct()
+    return [fitted.where("only_length").select("pattern"), found]
 
 
 def _marked() -> Column:
@@ -165,27 +194,35 @@ def _verified(names: DataFrame, keyed: DataFrame, small: bool, cut: Callable[[Da
     return candidates.where(is_verified).select("pattern").distinct()
 
 
-def _rarest_anchor(described: DataFrame, small: bool) -> DataFrame:
+def _rarest_anchor(described: DataFrame) -> DataFrame:
     """One anchor per pattern: the one that the fewest other patterns share.
 
     With ``a*.html`` and ``b*.html`` that is the start, not the common ending.
     Among equals the ends of a name come first: there is one of each, where inner
     texts are looked for at every place.
     """
-    anchor = F.col("anchor")
-    kind = (
-        F.when(F.col("whole"), "whole")
-        .when(anchor.startswith(START), "start")
-        .when(anchor.endswith(END), "end")
-        .otherwise("inner")
-    )
     glob = F.struct("regex", "start", "end").alias("glob")
-    each = described.select("pattern", "whole", glob, F.explode("anchors").alias("anchor")).withColumn("kind", kind)
+    each = described.select("pattern", "whole", glob, F.explode("anchors").alias("anchor")).withColumn("kind", _kind())
     shared = each.groupBy("anchor").agg(F.count("*").alias("users"))
     ranking = F.struct("users", F.col("kind") == "inner", -F.length("anchor"), "anchor")
     return (
-        lookup(each, shared, "anchor", small)
+        lookup(each, shared, "anchor")
         .groupBy("pattern")
         .agg(F.min_by(F.struct("anchor", "kind", "glob"), ranking).alias("best"))
         .select("pattern", "best.anchor", "best.kind", "best.glob.*")
     )
+
+
+def _each_of_a_set(described: DataFrame) -> DataFrame:
+    """Patterns that begin or end with a small set, once per character of the set."""
+    each = described.select("pattern", "whole", "regex", "start", "end", F.explode("either").alias("anchor"))
+    return each.select("pattern", "anchor", _kind().alias("kind"), "regex", "start", "end")
+
+
+def _kind() -> Column:
+    return (
+        F.when(F.col("whole"), "whole")
+        .when(F.col("anchor").startswith(START), "start")
+        .when(F.col("anchor").endswith(END), "end")
+        .otherwise("inner")
+    )

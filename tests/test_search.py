@@ -1,4 +1,5 @@
 import random
+import re
 from fnmatch import fnmatchcase
 
 import pytest
@@ -133,6 +134,56 @@ def test_anchors():
     assert translate("[0-4]??*").anchors == translate("*").anchors == translate("").anchors == []
 
 
+def test_patterns_without_text():
+    glob = translate("[0-4b]??*")
+    assert glob.either == [f"\x02{c}" for c in "01234b"] and (glob.least, glob.has_star, glob.only_length) == (3, True, False)
+    assert translate("*[xy]").either == ["x\x03", "y\x03"]
+    assert translate("[!ab]*").either == translate("[[:alpha:]]*").either == translate("?[ab]?").either == []
+    assert translate("??*").only_length and translate("*").least == 0 and not translate("?[a]").only_length
+    assert translate("[ -~]*").either == []  # too large to list
+
+
+def many_loose(count):
+    """Distinct patterns without text: sets of every kind at every place."""
+    rng = random.Random(9)
+    pieces = ["?", "*", "[ab]", "[!ab]", "[0-9]", "[^c]", "[[:alpha:]]", "[!0-9.]"]
+    found = set()
+    while len(found) < count:
+        found.add("".join(rng.choice(pieces) for _ in range(rng.randint(1, 7))))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("fits", [True, False])
+def test_loose_patterns_in_one_plan(spark, fits, request):
+    if not fits:
+        request.getfixturevalue("nothing_fits")
+    names = sorted({"".join(random.Random(i).choice("abc01.") for _ in range(i % 6 + 1)) for i in range(90)})
+    # One ending holds a third of the names.
+    names += [f"{i}.hot" for i in range(45)]
+    table = spark.createDataFrame([(n,) for n in names], "name string")
+    patterns = many_loose(400) + ["*.hot", "[0-4]*.hot"]
+    requests = spark.createDataFrame([(p,) for p in patterns], "pattern string")
+    found = found_patterns(requests, table)
+    expected = {p for p in patterns if any(re.fullmatch(by_re(p), n, re.DOTALL) for n in names)}
+    assert sorted(r.pattern for r in found.collect()) == sorted(expected)
+
+
+def by_re(pattern):
+    pattern = pattern.replace(".", "\\.") if "[" not in pattern else pattern.replace(".hot", "\\.hot")
+    return pattern.replace("[[:alpha:]]", "[a-zA-Z]").replace("[!", "[^").replace("?", ".").replace("*", ".*")
+
+
+def test_plan_does_not_grow_with_the_patterns(spark, tmp_path):
+    path = str(tmp_path / "names")
+    spark.createDataFrame([("a1",), ("b.c",)], "name string").write.parquet(path)
+    scans = []
+    for count in (100, 1000):
+        requests = spark.createDataFrame([(p,) for p in many_loose(count)], "pattern string")
+        plan = found_patterns(requests, spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+        scans.append(plan.count("FileScan"))
+    assert scans[0] == scans[1] <= 8
+
+
 def test_answers(spark):
     names = spark.createDataFrame([("a.txt",)], "name string")
     requests = spark.createDataFrame([(1, "*.txt"), (2, "b"), (3, None), (4, "")], "request_id int, pattern string")
