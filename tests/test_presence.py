@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +60,36 @@ def test_bounds(spark):
     assert not fits_broadcast(table, rows=100, size=999)
     assert fits_broadcast(table.limit(0))
     assert presence.HOT_SHARE * 8 < presence.BROADCAST_ROWS
+
+
+def test_large_lookup_reads_its_left_side_once(spark, tmp_path, nothing_fits):
+    """In the plan it returns; the sketch of hot keys before it is one aggregation."""
+    left, right = str(tmp_path / "left"), str(tmp_path / "right")
+    hot_tables(spark)[0].write.parquet(left)
+    spark.range(500).select(F.col("id").cast("string").alias("key"), F.col("id").alias("size")).write.parquet(right)
+    joined = lookup(spark.read.parquet(left), spark.read.parquet(right), "key")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet.*Location: \S+ \S+[^\]]*/left\]", plan)) == 1
+    assert len(re.findall(r"FileScan parquet.*Location: \S+ \S+[^\]]*/right\]", plan)) == 1
+    assert joined.where("size is not null").count() == spark.read.parquet(left).where("key is not null and key != 'hot' and int(key) < 500").count()
+
+
+def test_hot_rows_are_dealt_out(spark, nothing_fits):
+    left, _ = hot_tables(spark)
+    left = left.repartition(16)
+    right = left.where("key is not null").select("key").distinct().withColumn("size", F.length("key"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = lookup(left, right, "key").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    counts = [r["count"] for r in sizes]
+    assert max(counts) < 2 * 6000 / len(counts)
+
+
+def test_hot_keys(spark):
+    left, known = hot_tables(spark)
+    assert presence.hot_keys(left, "key") == ["hot"]
+    assert presence.hot_keys(known.limit(0), "key") == []
