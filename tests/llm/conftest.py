@@ -40,3 +40,4 @@ def small_bounds_off(monkeypatch):
     from askframe.operators import presence
 
     monkeypatch.setattr(presence, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(presence, "BROADCAST_ROWS", -1)
