@@ -37,9 +37,9 @@ SHINGLE = 5
 COORDINATES = 64
 START, DEPTH = 2, 4  # levels before buckets are measured for the first time, and at most
 SMALL = 64
-BLOCK = 256
+BLOCK = 1024  # sets; a task holds two blocks
 MISS = 1e-3
-CHUNK = 1 << 18
+CHUNK = 1 << 18  # words whose shingles are held at once
 
 NODE = np.random.default_rng(11).integers(1, 2**63, COORDINATES, dtype=np.uint64)
 TIMES = np.random.default_rng(12).integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -78,16 +78,20 @@ def shingle_hashes(hashed: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     return mixed(total), starts
 
 
+def in_chunks(hashed: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The shingles of some texts at a time, so that their arrays stay small."""
+    first = 0
+    while first < len(offsets) - 1:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + CHUNK, side="right")) - 1)
+        yield shingle_hashes(hashed[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+        first = last
+
+
 def minima(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The embedding of every set; sets have one shingle at least."""
     found = np.empty((len(starts) - 1, COORDINATES), np.uint32)
-    first = 0
-    while first < len(starts) - 1:
-        last = max(first + 1, int(np.searchsorted(starts, starts[first] + CHUNK, side="right")) - 1)
-        part, begins = shingles[starts[first] : starts[last]], starts[first:last] - starts[first]
-        for i in range(COORDINATES):
-            found[first:last, i] = np.minimum.reduceat(part * TIMES[i] + PLUS[i], begins) >> np.uint64(32)
-        first = last
+    for i in range(COORDINATES):
+        found[:, i] = np.minimum.reduceat(shingles * TIMES[i] + PLUS[i], starts[:-1]) >> np.uint64(32)
     return found
 
 
@@ -108,10 +112,8 @@ def _parts(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        shingles, starts = shingle_hashes(*_parts(batch, "hashed"))
-        if batch.num_rows:
-            found = minima(shingles, starts)
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([row.tobytes() for row in found], pa.binary())], ["node", "embedded"])
+        found = [row.tobytes() for part in in_chunks(*_parts(batch, "hashed")) for row in minima(*part)]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "embedded"])
 
 
 def _embedded(batch: pa.RecordBatch) -> np.ndarray:
@@ -170,16 +172,23 @@ def _buckets(embedded: DataFrame, similar: float) -> DataFrame:
     return written(lookup(buckets, kept, "path").where("n is not null"), "buckets")
 
 
-def _wanted_sets(docs: DataFrame, buckets: DataFrame) -> DataFrame:
+def _hashed(texts: DataFrame) -> DataFrame:
+    """The hashes of every text's words, of those that have words."""
+    # A test of the words themselves would be made before a join, and the words twice.
+    with_words = texts.where(F.col("body").rlike(r"[^\x20\x09-\x0D]"))
+    return with_words.withColumn("hashed", F.transform(words(F.col("body")), lambda w: F.xxhash64(w))).drop("body")
+
+
+def _wanted_sets(texts: DataFrame, buckets: DataFrame) -> DataFrame:
     """The shingles of the sets in buckets, sorted, and the buckets of each."""
     of = buckets.groupBy("node").agg(F.array_sort(F.collect_list("path")).alias("paths"))
     of = written(of, "wanted")
-    rows = lookup(docs, of, "node").where("paths is not null").dropDuplicates(["node"])
+    rows = _hashed(lookup(texts, of, "node").where("paths is not null")).dropDuplicates(["node"])
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shingles, starts = shingle_hashes(*_parts(batch, "hashed"))
-            sets = [np.unique(shingles[a:b]).tobytes() for a, b in zip(starts[:-1], starts[1:])]
+            parts = in_chunks(*_parts(batch, "hashed"))
+            sets = [np.unique(part[a:b]).tobytes() for part, starts in parts for a, b in zip(starts[:-1], starts[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary()), batch.column("paths")], ["node", "shingles", "paths"])
 
     return written(rows.select("node", "hashed", "paths").mapInArrow(shingled, "node long, shingles binary, paths array<long>"), "sets")
@@ -301,16 +310,15 @@ def node_of(text: Column) -> Column:
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
     """``node``, its ``copies``, its ``links`` to other texts, the least key of its own
     texts (``first_key``), and of its class the least key (``class_key``) and the node that has it."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    hashed = docs.select(node_of(F.col(text)).alias("node"), F.transform(words(body), lambda w: F.xxhash64(w)).alias("hashed")).where(F.size("hashed") > 0)
-    embedded = hashed.mapInArrow(_embed, "node long, embedded binary")
+    texts = docs.select(node_of(F.col(text)).alias("node"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    embedded = _hashed(texts).mapInArrow(_embed, "node long, embedded binary")
     embedded = written(embedded.groupBy("node").agg(F.first("embedded").alias("embedded")), "embedded")
     buckets = _buckets(embedded, similar)
-    links = written(_links(buckets, _wanted_sets(hashed, buckets), similar), "links")
+    links = written(_links(buckets, _wanted_sets(texts, buckets), similar), "links")
     roots = components(links.where("v is not null").select("u", "v"))
     counts = links.where("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
-    texts = docs.groupBy(node_of(F.col(text)).alias("node")).agg(F.count("*").alias("copies"), F.min(key).alias("first_key"))
-    known = texts.join(roots, "node", "left").join(counts, "node", "left")
+    copies = docs.groupBy(node_of(F.col(text)).alias("node")).agg(F.count("*").alias("copies"), F.min(key).alias("first_key"))
+    known = copies.join(roots, "node", "left").join(counts, "node", "left")
     known = written(known.select("node", "copies", "first_key", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root")), "known")
     firsts = known.groupBy("root").agg(F.min(F.struct(F.col("first_key").isNull(), F.col("first_key").alias("key"), "node")).alias("first"), F.count("*").alias("texts"))
     firsts = firsts.select("root", F.col("first.key").alias("class_key"), F.col("first.node").alias("class_node"), "texts")
