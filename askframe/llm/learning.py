@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from askframe.llm.common import least_hashed
+
 
 def labelled_sample(
     documents: DataFrame, labels: DataFrame, label: str, learn: Column, sample: int, key: str = "doc_id", text: str = "text"
@@ -20,9 +21,8 @@ def labelled_sample(
     docs = documents.where(learn).select(F.col(key).alias("_key"), F.col(text).cast("binary").alias("body"))
     counted = documents.where(learn).select(F.col(key).alias("_key")).join(known, "_key")
     totals = {row["label"]: row["count"] for row in counted.groupBy("label").count().collect()}
-    least = counted.distinct().withColumn("hash", F.xxhash64("_key"))
-    # A limit keeps the least rows of each task before they meet.
-    chosen = [least.where(F.col("label") == i).orderBy("hash", "_key").limit(sample).select("_key", "label") for i in (0, 1)]
+    least = counted.distinct()
+    chosen = [least_hashed(least.where(F.col("label") == i), ["_key"], sample, totals.get(i, 0)) for i in (0, 1)]
     # At most 2 * sample keys.
     rows = docs.join(F.broadcast(chosen[0].unionByName(chosen[1])), "_key").select("label", "body")
     return rows, (totals.get(0, 0), totals.get(1, 0))

@@ -18,19 +18,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from askframe.llm.common import numbered
+from askframe.llm.common import cell, numbered
 
 BUCKETS = 16
 BUDGET = 16_384
 NEW = ["n_tokens", "bucket", "pad_to", "batch", "slot"]
 
 
-def cell(length: Column) -> Column:
-    """The histogram cell of a length: its number of bits above six, and its first six bits."""
-    over = F.greatest(F.length(F.bin(length)) - 6, F.lit(0))
-    return (over * 64 + F.call_function("shiftright", length, over)).cast("int")
-
-
 def boundaries(counts: np.ndarray, longest: np.ndarray, buckets: int) -> list[int]:
     """The last cell of every bucket, cells being sorted by length.
 

@@ -24,7 +24,7 @@ def test_boundaries_are_optimal():
 
 def test_cells_follow_lengths(spark):
     lengths = [*range(200), 255, 256, 257, 1023, 1024, 10**6, 10**12, 2**62]
-    rows = spark.createDataFrame([(n,) for n in lengths], "n long").select("n", packing.cell(F.col("n")).alias("c")).orderBy("n").collect()
+    rows = spark.createDataFrame([(n,) for n in lengths], "n long").select("n", common.cell(F.col("n")).alias("c")).orderBy("n").collect()
     cells = [r.c for r in rows]
     assert cells == sorted(cells) and len(set(cells[:64])) == 64 and max(cells) < 4000
     for a, b in zip(rows, rows[1:]):
