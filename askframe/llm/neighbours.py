@@ -5,7 +5,8 @@ blocks, and each block posts its vectors in one file per pivot, holding how near
 pivot stands in each vector's order (0: not among its nearest). A query goes through
 the files of its own pivots: the sum of ``min(near, near')`` over them is, up to a
 constant, minus half the footrule distance of the two orders. The candidates with the
-least distance are compared with the query exactly. A block returns its nearest of
+least distance, a share of the block and all that are close, are compared with the
+query exactly. A block returns its nearest of
 every query, and the nearest of all blocks are the answer.
 
 Pivots come from a bounded sample, ``SAMPLE`` rows with the least hashes of their id;
@@ -29,15 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from askframe.llm.common import written
+from askframe.llm.common import least_hashed, written
 
 PIVOTS = 256
-POSTED = 128  # pivots in a vector's order
+POSTED = 128  # pivots in a vector's order; sums of places fit 16 bits
 SAMPLE = 4_096
 BLOCK = 16_384  # rows of a block
 QUERIES = 2_048  # queries that meet a block in one task
-CANDIDATES = 0.1  # the share of a block's vectors that are reranked
+CANDIDATES = 0.25  # the share of a block's vectors that are reranked
 LEAST = 1_000  # and their number at least
+CLOSE = 0.6  # besides them, all whose order agrees with the query's to this share
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -48,9 +50,9 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.distinct()
 
 
-def choose_pivots(rows: DataFrame) -> np.ndarray:
+def choose_pivots(rows: DataFrame, total: int) -> np.ndarray:
     """Distinct vectors of the sample, in order of the hash of their ids."""
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()["v"]
+    sample = least_hashed(rows, ["vec_id"], SAMPLE, total).select("v").toPandas()["v"]
     return np.array(list(dict.fromkeys(map(tuple, sample)))[:PIVOTS], dtype=float)
 
 
@@ -78,18 +80,24 @@ def search_block(ids: np.ndarray, vectors: np.ndarray, order: np.ndarray, querie
     distinct, files = vectors[first], post(order[first], pivots)
     wanted = min(len(first), max(LEAST, int(CANDIDATES * len(first))))
     posted = order.shape[1]
+    full = posted * (posted + 1) / 2
     for query, q, own in zip(queries["vec_id"], queries["v"], queries["pivots"]):
         if wanted < len(first):
-            near = np.zeros(len(first), dtype=np.int32)
+            near, step = np.zeros(len(first), dtype=np.int16), np.empty(len(first), dtype=np.int16)
             for place, pivot in enumerate(own):
-                near += np.minimum(files[pivot], np.int16(posted - place))
-            chosen = np.argpartition(-near, wanted - 1)[:wanted]
+                near += np.minimum(files[pivot], np.int16(posted - place), out=step)
+            # Of a crowd of like vectors none is left out, however many they are.
+            cut = min(np.partition(near, len(near) - wanted)[len(near) - wanted], CLOSE * full)
+            chosen = np.nonzero(near >= cut)[0]
         else:
             chosen = np.arange(len(first))
-        scores = (distinct[chosen] * np.asarray(q)[None, :]).sum(axis=1)
-        if len(scores) > k + 1:  # one more: the query itself may be among them
+        q = np.asarray(q)
+        if len(chosen) > k + 1:  # one more: the query itself may be among them
+            scores = distinct[chosen] @ q
             cut = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
-            chosen, scores = chosen[scores >= cut], scores[scores >= cut]
+            chosen = chosen[scores >= cut - 1e-9 * max(1.0, abs(cut))]
+        # Summed in one way wherever a vector lies, so that equal vectors have equal scores.
+        scores = (distinct[chosen] * q[None, :]).sum(axis=1)
         found = []
         for c, score in zip(chosen, scores):
             rows = ids[by_class[starts[c] : starts[c + 1]]]
@@ -108,7 +116,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, key: str = "vec_id", vect
     sizes = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "n").limit(1).collect()
     length, total = (sizes[0]["n"], sizes[0]["rows"]) if sizes else (0, 0)
     rows = written(rows.where(F.size("v") == length), "vectors")
-    pivots = choose_pivots(rows).reshape(-1, max(length, 1))
+    pivots = choose_pivots(rows, total).reshape(-1, max(length, 1))
     shared, count = spark.sparkContext.broadcast(pivots), len(pivots)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
