@@ -60,7 +60,7 @@ SIZE = len(statistics(b""))
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [statistics(text or b"") for text in batch.column("body").to_pylist()]
+        found = [statistics(text.as_py() or b"") for text in batch.column("body")]
         yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found, pa.list_(pa.float64()))], ["label", "stats"])
 
 
@@ -137,7 +137,7 @@ def score(documents: DataFrame, model: Discriminant | float, text: str = "text",
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([statistics(body or b"") for body in batch.column(len(kept)).to_pylist()]).reshape(-1, SIZE)
+            x = np.array([statistics(body.as_py() or b"") for body in batch.column(len(kept))]).reshape(-1, SIZE)
             found = np.full(len(x), shared.value) if isinstance(shared.value, float) else shared.value.score(x)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.float64())], [*kept, name])
 

@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from askframe.llm.common import slices
 from askframe.llm.learning import calibrated, labelled_sample
 
 SAMPLE = 2_000
@@ -47,7 +48,8 @@ LONGEST, STEP = 20, 10  # characters of a piece of a long word, and from piece t
 WITNESSES = 400
 NEGATIVES = 8_000
 ROUNDS = 4
-CACHE = 200_000
+CACHE = 200_000  # margins of words that a task remembers
+SLICE = 4 << 20  # bytes of text whose words it holds at once
 CODES = 64
 BEGIN, END = 27, 28
 TRIPLES = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
@@ -269,15 +271,18 @@ def fit(toxic: list[set[str]], clean: list[set[str]], totals: tuple[int, int]) -
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [sorted(words_of((body or b"").decode("utf-8", "replace"))) for body in batch.column("body").to_pylist()]
+    for batch in (part for whole in batches for part in slices(whole, "body", SLICE)):
+        found = [sorted(words_of((body.as_py() or b"").decode("utf-8", "replace"))) for body in batch.column("body")]
         yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found, pa.list_(pa.string()))], ["label", "words"])
 
 
 def train(documents: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", key: str = "doc_id", text: str = "text"):
     rows, totals = labelled_sample(documents, labels, label, learn, SAMPLE, key, text)
-    found = sorted((row["label"], row["words"]) for row in rows.mapInArrow(_words, "label int, words array<string>").toLocalIterator())
+    same: dict[str, str] = {}  # every word is held once
+    rows = rows.mapInArrow(_words, "label int, words array<string>").toLocalIterator()
+    found = sorted((row["label"], [same.setdefault(word, word) for word in row["words"]]) for row in rows)
     toxic, clean = ([set(words) for value, words in found if value == i] for i in (1, 0))
+    del found, same
     return fit(toxic, clean, totals)
 
 
@@ -290,22 +295,16 @@ def score(documents: DataFrame, model: Machine | float, text: str = "text", name
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, margin = shared.value, {}
-        for batch in batches:
-            found = []
-            for body in batch.column(len(kept)).to_pylist() if not isinstance(model, float) else ():
-                words = words_of((body or b"").decode("utf-8", "replace"))
-                new = [word for word in words if word not in margin]
-                found.append((words, new))
-                margin.update(dict.fromkeys(new))
-            if found:
-                new = [word for _, some in found for word in some]
-                margin.update(zip(new, model.margins(new)))
-                x = [features(np.array([margin[word] for word in words])) for words, _ in found]
-                values = model.score(np.array(x))
+        for batch in (part for whole in batches for part in slices(whole, "_body", SLICE)):
+            if isinstance(model, float):
+                values = np.full(batch.num_rows, model)
             else:
-                values = np.full(batch.num_rows, model if isinstance(model, float) else 0.0)
-            if len(margin) > CACHE:
-                margin.clear()
+                found = [words_of((body.as_py() or b"").decode("utf-8", "replace")) for body in batch.column("_body")]
+                new = list(set().union(*found) - margin.keys())
+                margin.update(zip(new, model.margins(new)))
+                values = model.score(np.array([features(np.array([margin[word] for word in words])) for words in found]))
+                if len(margin) > CACHE:
+                    margin.clear()
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(values, pa.float64())], [*kept, name])
 
     return documents.select(*columns, F.col(text).cast("binary").alias("_body")).mapInArrow(scored, schema)
