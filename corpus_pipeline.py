@@ -5,7 +5,8 @@ near copies of lines go, one document of each group of near copies stays, source
 mixed to their target weights (so documents may repeat), and what is left is packed.
 All stages but the last return the columns of ``documents``.
 
-Defined results: empty and null texts pass the first two stages as they are; equal
+Defined results: without enough labelled documents to learn toxicity from, the first
+stage keeps all; empty and null texts pass the first two stages as they are; equal
 texts, empty ones too, are one group of the third; documents without words take part
 in the mix with size 0; an empty table gives an empty table. A column of the input that
 is named like one that a stage adds takes the stage's values.
@@ -23,8 +24,13 @@ TOXIC = 0.3
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score under ``TOXIC``, learnt from all labelled documents of this stage."""
+    """Documents that score under ``TOXIC``, learnt from all labelled documents of this stage.
+
+    Where these are too few to learn from, nothing is known of any document and all stay.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), F.lit(True))
+    if not isinstance(model, toxicity.Machine):
+        return docs
     scored = toxicity.score(docs, model, name="_toxicity")
     return scored.where(F.col("_toxicity") < TOXIC).select(*docs.columns)
 

@@ -27,12 +27,21 @@ def test_stages(spark, sf_dir):
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None, None, None, None), (None, "", "en", "s", 0), (2, "a b c", "en", "s", 5), (2, "a b c", "en", "s", 5)]])
-def test_odd_tables(spark, tables, rows):
+def test_odd_tables(spark, tables, tmp_path, rows):
     rows = [(*row, "big", 5, "n") for row in rows]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, size string, score int, _node string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     found = corpus_pipeline.run(spark, tables(documents=docs, labels=labels)).collect()
     assert all(r.n_tokens in (0, 3) for r in found) and len(found) <= 4
+    first = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
+    assert sorted(map(tuple, first.collect()), key=str) == sorted(rows, key=str)
+
+
+@pytest.mark.parametrize("known", [[(1, 5, 1), (2, 5, 0), (3, 5, 1)], [(99, 5, 1)]])
+def test_all_stay_where_toxicity_cannot_be_learnt(spark, documents, tables, known):
+    docs = documents((1, "a"), (2, None), (3, ""), (4, "b"))
+    sf_dir = tables(labels=spark.createDataFrame(known, "doc_id long, quality int, toxic int"))
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, sf_dir).collect()) == [1, 2, 3, 4]
 
 
 def test_sql(spark, sf_dir):
