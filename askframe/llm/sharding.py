@@ -3,7 +3,8 @@
 Bytes, tokens and rows are balanced jointly. Rows are gathered into a bounded number
 of items: every group of equal texts that holds a noticeable part of a shard in any
 of the three measures is an item of its own, or several if it is over ``WHOLE`` of a shard
-(so a text that a third of all rows share is spread), and all other groups are pooled
+(so a text that a third of all rows share is spread, be they repeated rows: the rows
+are dealt out by task and place in it, not by their values), and all other groups are pooled
 by the hash of their text. The items, of a number bounded by ``FINE``, the shards and
 the pools, are placed one after another, the largest first, on the
 shard where the dot product of item and residual capacity is highest. Places travel
@@ -52,7 +53,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str
     crc = F.crc32(body.cast("binary"))
     size = (F.octet_length(body) + 8).cast("long")
     rows = docs.select(F.col(key).alias("key"), size.alias("size"), count_words(body).alias("tokens"), crc.alias("crc"), F.xxhash64(body).alias("mark"))
-    rows = written(rows, "sizes")
+    # Equal rows are told apart by a number that is written, as it may not change later.
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "sizes")
     sums = [F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")]
     totals = rows.agg(*sums).first()
     share = F.greatest(*[(F.col(m) * (shards / totals[m])) if totals[m] else F.lit(0.0) for m in MEASURES])
@@ -64,7 +66,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str
     large["base"] = pools + large["parts"].cumsum() - large["parts"]
     known = spark.createDataFrame(list(large.astype("int64").itertuples(index=False, name=None)), "mark long, crc long, parts long, base long")
     marked = rows.join(F.broadcast(known), ["mark", "crc"], "left")
-    part = F.col("base") + F.pmod(F.xxhash64("key"), F.col("parts"))
+    part = F.col("base") + F.pmod(F.xxhash64("row"), F.col("parts"))
     rows = marked.select("key", "size", "tokens", "crc", F.coalesce(part, F.pmod("mark", F.lit(pools))).alias("item"))
     items = rows.groupBy("item").agg(*sums).sort("item").toPandas()
     items["shard"] = place(items[list(MEASURES)].to_numpy(dtype=float), shards)

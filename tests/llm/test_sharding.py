@@ -39,6 +39,18 @@ def test_balance_with_a_hot_text(spark):
     assert found.where("doc_id % 3 != 0").join(rows, "doc_id").groupBy("text").agg(F.countDistinct("shard").alias("n")).where("n > 1").count() == 0
 
 
+def test_balance_with_a_repeated_row(spark):
+    for key in (7, None):
+        hot = spark.range(4000).select(F.lit(key).cast("long").alias("doc_id"), F.repeat(F.lit("hot text "), 20).alias("text"))
+        rest = spark.range(8000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", "id", F.repeat(F.lit("w "), (F.col("id") * 31 % 60).cast("int"))).alias("text"))
+        found = sharding.shard(hot.unionByName(rest))
+        check(found.collect(), 24)
+        sums = found.groupBy("shard").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")).toPandas()
+        assert len(sums) == 24 and sums["rows"].sum() == 12000
+        for measure in ("size", "tokens", "rows"):
+            assert sums[measure].max() < 1.03 * sums[measure].mean() and sums[measure].min() > 0.97 * sums[measure].mean()
+
+
 def test_place_prefers_room():
     items = np.array([[4.0, 0, 1], [4, 0, 1], [0, 4, 1], [0, 4, 1]])
     chosen = sharding.place(items, 2)
