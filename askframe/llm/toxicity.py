@@ -65,24 +65,29 @@ def code(character: str) -> int:
 
 
 def words_of(text: str) -> set[str]:
-    """The different words of a text, without punctuation at their ends."""
+    """The different words of a text, without punctuation at their ends; of words with
+    punctuation inside also what they are without it. Of all long ones there are pieces."""
     found = set()
     low = text.lower()
     for run in APART.findall(low):
-        found.add(re.sub(r"\W", "", run))
+        found.update(pieces(re.sub(r"\W", "", run)))
     for word in set(low.split()):
         if not word.isalnum():
             word = EDGES.sub("", word)
             if not word.isalnum():
-                found.add(INNER.sub("", word)[:LONGEST])
-        if len(word) <= LONGEST:
-            found.add(word)
-        else:
-            found.update(word[i : i + LONGEST] for i in range(0, len(word) - LONGEST + STEP, STEP))
+                found.update(pieces(INNER.sub("", word)))
+        found.update(pieces(word))
     found.discard("")
     return found
 
 
+def pieces(word: str) -> list[str]:
+    """The word, or if it is long its overlapping pieces, the last of which is its end."""
+    if len(word) <= LONGEST:
+        return [word]
+    return [word[i : i + LONGEST] for i in range(0, len(word) - LONGEST + STEP, STEP)]
+
+
 def encode(words: list[str]) -> np.ndarray:
     """Codes with marks, padded to one width and by a span more."""
     width = max(map(len, words), default=0) + 2

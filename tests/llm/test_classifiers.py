@@ -51,6 +51,16 @@ def test_words():
     assert toxicity.words_of(" \n ... ") == set()
 
 
+def test_long_runs_are_read_to_their_end():
+    for n in (1, 9, 10, 15, 500):
+        apart = " ".join("x" * n + "zorkwit")
+        dashed = "-".join(["ab"] * n + list("zorkwit"))
+        for text in (apart, dashed, dashed + "-" + dashed):
+            found = toxicity.words_of(text)
+            assert any("zorkwit" in word for word in found)
+    assert max(map(len, toxicity.words_of(" ".join("x" * 14_000)))) <= toxicity.LONGEST
+
+
 def insulting(rng, i, toxic):
     words = ["".join(rng.choice(list("aeioulmnrst"), rng.integers(2, 8))) for _ in range(rng.integers(5, 60))]
     if toxic:
