@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askframe.llm import fingerprints, lines, lm, mixing, neighbours, packing, quality, sharding, shinglejoin, toxicity
+from askframe.llm import bestfit, fingerprints, lines, lm, mixing, neighbours, packing, quality, resampling, sharding, shinglejoin
+from askframe.llm import toxicity, whitening
 from askframe.llm.common import count_words, remainder, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +92,19 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_lm": op2_lm,
@@ -101,4 +116,7 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_quality": op9_quality,
     "op10_fingerprints": op10_fingerprints,
+    "op11_resampling": op11_resampling,
+    "op12_bestfit": op12_bestfit,
+    "op13_whitening": op13_whitening,
 }

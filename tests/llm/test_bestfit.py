@@ -1,0 +1,131 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from askframe.llm import bestfit
+from askframe.llm.queries import op12_bestfit
+
+FILE = public_tokenizers.path("word_bpe_49k.json")
+TOKENIZER = Tokenizer.from_file(FILE)
+IDS = bestfit.Ids(open(FILE, encoding="utf-8").read())
+
+
+def ids_by_hand(text):
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids + [1]
+
+
+def best_fit_by_hand(lengths, limit):
+    """How many sequences best fit takes, one piece after the other, longest first."""
+    rooms = []
+    for length in sorted(lengths, reverse=True):
+        fitting = [i for i, room in enumerate(rooms) if room >= length]
+        if fitting:
+            at = min(fitting, key=lambda i: rooms[i])
+            rooms[at] -= length
+        else:
+            rooms.append(limit - length)
+    return len(rooms)
+
+
+def check(rows, documents, limit):
+    """Pieces are the documents' ids cut in order, sequences are filled without gaps; how many there are."""
+    expected = Counter()
+    for key, text in documents:
+        ids = ids_by_hand(text)
+        for piece, start in enumerate(range(0, len(ids), limit)):
+            some = ids[start : start + limit]
+            expected[key, piece, start, len(some), zlib.crc32(np.array(some, "<u4").tobytes())] += 1
+    assert Counter(tuple(row)[:5] for row in rows) == expected
+    sequences = defaultdict(list)
+    for row in rows:
+        sequences[row["sequence_id"]].append((row["offset"], row["length"]))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= limit
+    assert len(sequences) == best_fit_by_hand([row["length"] for row in rows], limit)
+
+
+def test_query(spark, sf_dir):
+    found = op12_bestfit(spark, sf_dir)
+    assert found.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert [kind for _, kind in found.dtypes] == ["bigint", "int"] + ["bigint"] * 5
+    documents = [tuple(row) for row in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    check(found.collect(), documents, 4096)
+
+
+@given(st.lists(st.integers(1, 60), max_size=200), st.integers(60, 100))
+def test_counts_give_what_best_fit_gives_piece_by_piece(lengths, limit):
+    taken, filled = Counter(), defaultdict(list)
+    for length, rank, many, each, first, offset in bestfit.best_fit(Counter(lengths), limit):
+        for i in range(many):
+            taken[length, rank + i] += 1
+            filled[first + i // each].append((offset + i % each * length, length))
+    assert taken == Counter({(length, rank): 1 for length, n in Counter(lengths).items() for rank in range(n)})
+    for places in filled.values():
+        ends = [0] + [offset + length for offset, length in sorted(places)]
+        assert [offset for offset, _ in sorted(places)] == ends[:-1] and ends[-1] <= limit
+    assert len(filled) == best_fit_by_hand(lengths, limit)
+
+
+def test_plan_does_not_grow_with_the_pieces():
+    random.seed(3)
+    counts = {length: random.randint(1, 50) for length in range(1, 4097)}
+    small = bestfit.best_fit(counts, 4096)
+    assert len(bestfit.best_fit({length: n * 10**6 for length, n in counts.items()}, 4096)) < 2 * len(small) < 10**6
+
+
+ALPHABET = list("abzAZ019.,'!? \n\t\x1c\x85\xa0　éÉßİſΣς中あ́<|>_-\0") + ["'s", "'ll", "<|endoftext|>", "<|startoftext|>", "ﬁ", "½"]
+
+
+@settings(max_examples=300)
+@given(st.lists(st.sampled_from(ALPHABET), max_size=30).map("".join))
+def test_ids_are_the_tokenizers(text):
+    assert np.frombuffer(IDS([text])[0], "<u4").tolist() == ids_by_hand(text)[:-1]
+
+
+def test_ids_are_forgotten_and_found_again(monkeypatch):
+    monkeypatch.setattr(bestfit, "KNOWN", 5)
+    ids = bestfit.Ids(open(FILE, encoding="utf-8").read())
+    for text in ["one two three, four5", "six seven éight one", "nine ten", "one two", "eleven twelve thirteen 14 15", "one"] * 2:
+        assert np.frombuffer(ids([text])[0], "<u4").tolist() == ids_by_hand(text)[:-1]
+
+
+def test_odd_rows(spark, monkeypatch):
+    """Nulls, empty and very long texts, repeated rows, clashing columns; slots dealt in small runs."""
+    monkeypatch.setattr(bestfit, "DEALT", 3)
+    rows = [(None, "a"), (None, "a"), (1, None), (2, ""), (3, "word 7, " * 30_000), (3, "word 7, " * 30_000), (4, "x" * 5000)]
+    rows += [(9, "the same row")] * 40 + [(10 + i, "word " * (i % 7)) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    names = ("row", "piece", "length", "sequence_id", "offset", "key", "body", "rank", "given", "_run", "_n")
+    found = bestfit.packed(frame.withColumns({c: F.lit("mine") for c in names}), FILE, limit=50, with_ids=True)
+    pieces = found.collect()
+    check(pieces, rows, 50)
+    for row in pieces:
+        assert zlib.crc32(row["ids"]) == row["ids_crc32"] and len(row["ids"]) == 4 * row["length"]
+    nothing = bestfit.packed(frame.limit(0), FILE)
+    assert nothing.collect() == []
+    with pytest.raises(ValueError):
+        bestfit.pack(spark.range(3), F.col("id"), ["id"], 10)
+
+
+def test_a_third_of_all_rows_of_one_length_is_numbered_in_runs(spark, monkeypatch):
+    """As in every plan: runs by a number of the row, not by what repeated rows share."""
+    from askframe.llm import common
+
+    monkeypatch.setattr(common, "ROWS_PER_RUN", 100)
+    rows = spark.range(3000).select(F.lit(7).alias("doc_id"), F.when(F.col("id") % 3 == 0, 3).otherwise(F.col("id") % 40 + 1).alias("n"), F.col("id").alias("row"))
+    found = bestfit.pack(rows, F.col("n"), ["row"], 64)
+    assert found.columns == ["doc_id", "n", "row", "sequence_id", "offset"] and found.count() == 3000
+    ends = found.groupBy("sequence_id").agg(F.sum("n").alias("full"), F.max(F.col("offset") + F.col("n")).alias("end"))
+    assert ends.where("full != end or end > 64").isEmpty()
