@@ -9,9 +9,10 @@ their length, the plan is spread out to one slot per piece, and both are joined
 and rank: keys that are unique on both sides, so that no length, however frequent, is
 one task's.
 
-Tokens are looked up by parts of texts between blanks, which the tokenizer never crosses:
-each part is encoded once per task. Of lower-cased ASCII parts the runs of letters go
-straight to the tokenizer's model, as neither its normalisation nor its splitting changes them.
+Texts are split as the tokenizer splits them, and each run is encoded once per task. Runs
+of ASCII and Latin-1 letters go straight to the tokenizer's model, as its normalisation only
+lowers their case; whatever holds other characters, or a special token, is left to it
+in whole parts between blanks.
 
 Defined results: a null text is an empty one; every document ends with the id ``end``, so
 an empty one is a piece of one token; repeated rows are rows of their own; no rows give no
@@ -21,6 +22,7 @@ rows. Only the key and the text are read, whatever other columns there are.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -37,60 +39,65 @@ from askframe.sources.storage import task_count
 LIMIT = 4096
 END = 1
 SLICE = 2 << 20  # bytes of text that are encoded at once
-KNOWN = 250_000  # parts of texts whose ids a task remembers, twice
+KNOWN = 400_000  # runs whose ids a task remembers, twice
 DEALT = 100_000  # slots that are spread out of one row
 ROWS_PER_TASK = 200_000
-#: What the tokenizer takes for blanks among ASCII characters.
-PART = re.compile(r"[^ \t-\r]+")
-RUN = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+LITTLE = sys.byteorder == "little"
+PART = re.compile(r"[^ \t-\r]+")  # the tokenizer parts texts at these blanks, whatever stands around them
+#: Texts of other characters than ASCII and the letters of Latin-1 are left to the tokenizer.
+OTHER = re.compile(r"[^\x00-\x7fÀ-ÖØ-öø-ÿ]")
+#: The tokenizer's own pattern for the rest, lower-cased: contractions, words, digits, signs.
+RUN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ \t-\r]+")
+WORD = re.compile(r"[a-zß-öø-ÿ]+")
 
 
-class Ids:
-    """The ids of parts of texts, as bytes of four each, the lowest first. Frequent parts
-    stay: when there are too many, those not asked for since the last time are forgotten."""
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in the vocabulary: itself if it can be seen,
+    else the next of those from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class Ids(dict):
+    """The ids of runs, as bytes of four each, the lowest first.
+
+    Each run, or each part that is left to the tokenizer, is encoded once, until there are
+    too many; then those are forgotten that were not asked for since the last time.
+    """
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
-        # Anything that names a special token, or may be a contraction, is left to the tokenizer.
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.parts: dict[str, bytes] = {}
+        self.letters = byte_letters()
         self.older: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        parted = [PART.findall(text) for text in texts]
-        if len(self.parts) > KNOWN:
-            self.older, self.parts = self.parts, {}
-        if len(self.runs) > KNOWN:
-            self.runs = {}
-        asked = set().union(*parted) - self.parts.keys()
-        rest = []
-        for part in asked:
-            known = self.older.get(part)
-            if known is None and part.isascii() and "'" not in part and not any(token in part for token in self.special):
-                known = b"".join(map(self._run, RUN.findall(part.lower())))
-            if known is None:
-                rest.append(part)
-            else:
-                self.parts[part] = known
-        for part, encoded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.parts[part] = _packed(encoded.ids)
-        ids = self.parts
-        return [b"".join([ids[part] for part in parts]) for parts in parted]
-
-    def _run(self, run: str) -> bytes:
-        known = self.runs.get(run)
-        if known is None:
-            if run.isalpha():
-                known = _packed([token.id for token in self.tokenizer.model.tokenize(run)])
-            else:
-                known = _packed(self.tokenizer.encode(run, add_special_tokens=False).ids)
-            self.runs[run] = known
-        return known
-
 
-def _packed(ids: list[int]) -> bytes:
-    return b"".join([i.to_bytes(4, "little") for i in ids])
+    def __missing__(self, run: str) -> bytes:
+        self[run] = found = self.older.get(run) or self._encoded(run)
+        return found
+
+    def of(self, text: str) -> bytes:
+        """All ids of a text."""
+        if len(self) > KNOWN:
+            self.older = dict(self)
+            self.clear()
+        if self._plain(text):
+            runs = RUN.findall(text.lower())
+        else:
+            runs = [run for part in PART.findall(text) for run in (RUN.findall(part.lower()) if self._plain(part) else [part])]
+        return b"".join([self[run] for run in runs])
+
+    def _plain(self, text: str) -> bool:
+        """Whether nothing but lower case and splitting comes before the tokenizer's model."""
+        return not OTHER.search(text) and not any(token in text for token in self.special)
+
+    def _encoded(self, run: str) -> bytes:
+        if WORD.fullmatch(run):
+            letters = run if run.isascii() else "".join([self.letters[b] for b in run.encode()])
+            ids = [token.id for token in self.tokenizer.model.tokenize(letters)]
+        else:
+            ids = self.tokenizer.encode(run, add_special_tokens=False).ids
+        return array("I", ids).tobytes() if LITTLE else b"".join([i.to_bytes(4, "little") for i in ids])
 
 
 def tokenized(
@@ -109,20 +116,20 @@ def tokenized(
         schema = schema.add("ids", "binary")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, last = Ids(shared.value), end.to_bytes(4, "little")
+        ids, last = Ids(shared.value), end.to_bytes(4, "little")
         for batch in (part for whole in batches for part in slices(whole, "body", SLICE)):
             texts = [body.decode("utf-8", "replace") for body in batch.column("body").to_pylist()]
-            at, numbers, ids = [], [], []
-            for i, (row, found) in enumerate(zip(batch.column("row").to_pylist(), ids_of(texts))):
-                found += last
+            at, numbers, contents = [], [], []
+            for i, (row, text) in enumerate(zip(batch.column("row").to_pylist(), texts)):
+                found = ids.of(text) + last
                 for piece, first in enumerate(range(0, len(found), 4 * limit)):
                     some = found[first : first + 4 * limit]
                     at.append(i)
                     numbers.append((row, piece, first // 4, len(some) // 4, zlib.crc32(some)))
                     if with_ids:
-                        ids.append(some)
+                        contents.append(some)
             columns = [pa.array(column, kind) for column, kind in zip(zip(*numbers), (pa.int64(), pa.int32(), *[pa.int64()] * 3))]
-            columns = [batch.column("key").take(pa.array(at)), *columns] + ([pa.array(ids, pa.binary())] if with_ids else [])
+            columns = [batch.column("key").take(pa.array(at)), *columns] + ([pa.array(contents, pa.binary())] if with_ids else [])
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     body = F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body")

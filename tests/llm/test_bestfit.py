@@ -91,14 +91,14 @@ ALPHABET = list("abzAZ019.,'!? \n\t\x1c\x85\xa0　éÉßİſΣς中あ́<|>_-\0"
 @settings(max_examples=300)
 @given(st.lists(st.sampled_from(ALPHABET), max_size=30).map("".join))
 def test_ids_are_the_tokenizers(text):
-    assert np.frombuffer(IDS([text])[0], "<u4").tolist() == ids_by_hand(text)[:-1]
+    assert np.frombuffer(IDS.of(text), "<u4").tolist() == ids_by_hand(text)[:-1]
 
 
 def test_ids_are_forgotten_and_found_again(monkeypatch):
     monkeypatch.setattr(bestfit, "KNOWN", 5)
     ids = bestfit.Ids(open(FILE, encoding="utf-8").read())
     for text in ["one two three, four5", "six seven éight one", "nine ten", "one two", "eleven twelve thirteen 14 15", "one"] * 2:
-        assert np.frombuffer(ids([text])[0], "<u4").tolist() == ids_by_hand(text)[:-1]
+        assert np.frombuffer(ids.of(text), "<u4").tolist() == ids_by_hand(text)[:-1]
 
 
 def test_odd_rows(spark, monkeypatch):
