@@ -36,6 +36,20 @@ def dir_name(path: Column) -> Column:
     )
 
 
+def ancestors(path: Column) -> Column:
+    """All directories that lead to a path, the nearest last: what ``dir_name`` gives
+    again and again, down to ``/`` or ``.``."""
+    bare = _unslashed(path)
+    ends = F.filter(
+        F.sequence(F.lit(1), F.greatest(F.length(bare), F.lit(1))),
+        lambda i: (i > 1) & (F.substr(bare, i, F.lit(1)) == "/") & (F.substr(bare, i - 1, F.lit(1)) != "/"),
+    )
+    inner = F.transform(ends, lambda i: F.substr(bare, F.lit(1), i - 1))
+    first = F.when(path.startswith("/"), F.lit("/")).when(path != "", F.lit("."))
+    above = F.when(bare != "", F.concat(F.array(first), inner)).when(path != "", F.array(first))
+    return F.when(path.isNotNull(), F.coalesce(above, F.array().cast("array<string>")))
+
+
 def is_hidden(name: Column) -> Column:
     return name.startswith(".")
 

@@ -15,7 +15,7 @@ from askframe.functions.messages import BACKUP_DIR_MISSING, BACKUP_PREFIX
 from askframe.functions.paths import clean_dir
 from askframe.operators.presence import few_keys, lookup
 from askframe.operators.snapshot import plan_snapshots, report_snapshots
-from askframe.sources.storage import children, literal_path, path_exists, refuse_overlap, refuse_own_input
+from askframe.sources.storage import children, literal_path, path_exists, refuse_overlap, refuse_own_input, replace_whole
 
 CODEC = "gzip"
 WRITERS = 8
@@ -90,7 +90,7 @@ def copy_dataset(
     """Replaces ``target`` by a copy of ``source``, directory layout included.
 
     No shuffle: every task writes what it reads. ``options`` go to the reader and
-    to the writer.
+    to the writer. The old target stays until the copy is whole (see ``replace_whole``).
     """
     refuse_overlap(spark, source, target)
     if format == "text":
@@ -105,10 +105,9 @@ def copy_dataset(
     schema = StructType([StructField(f.name, StringType()) if f.name in parts else f for f in found])
     records = spark.read.format(format).options(**options).schema(schema).load(path)
     writer = records.write.format(format).options(**options).mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "static")
     if codec:
         writer = writer.option("compression", codec)
-    writer.partitionBy(*parts).save(target)
+    replace_whole(spark, target, writer.option("partitionOverwriteMode", "static").partitionBy(*parts).save)
 
 
 def snapshot_dataset(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import unquote
 from uuid import uuid4
 
@@ -49,11 +49,72 @@ def refuse_overlap(spark: SparkSession, source: str, target: str) -> None:
 
 
 def refuse_own_input(records: DataFrame, out: str) -> None:
-    """A table whose files lie below ``out`` must not be written there."""
+    """A table that is read from ``out``, from below it, or from above it, must not be
+    written there. Looks at the roots of what the table reads, not at its files."""
     spark = records.sparkSession
     target = _plain(full_path(spark, out)).rstrip("/") + "/"
-    if any(_plain(unquote(file)).startswith(target) for file in records.inputFiles()):
-        raise ValueError(f"cannot write to {out!r}: the records are read from there")
+    for root in read_roots(records):
+        above = _plain(unquote(root)).rstrip("/") + "/"
+        if above.startswith(target) or target.startswith(above):
+            raise ValueError(f"cannot write to {out!r}: the records are read from {root!r}")
+
+
+def read_roots(records: DataFrame) -> list[str]:
+    """The paths that a table's file sources were loaded from."""
+    leaves = records._jdf.queryExecution().analyzed().collectLeaves()
+    found = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            roots = leaf.relation().location().rootPaths()
+            found += [roots.apply(j).toUri().getPath() if roots.apply(j).toUri().getScheme() is None else roots.apply(j).toString() for j in range(roots.size())]
+    return found
+
+
+def replace_whole(spark: SparkSession, target: str, write: Callable[[str], None]) -> None:
+    """Has ``write`` fill a path beside the target, and only then puts it in its place.
+
+    If writing fails the target is as it was; a run that ends in between is finished
+    or undone by the next one. One run per target at a time.
+    """
+    finish_replacing(spark, target)
+    new, old = _beside(target)
+    try:
+        write(new)
+    except BaseException:
+        _delete(spark, new)
+        raise
+    if path_exists(spark, target):
+        move(spark, target, old)
+    move(spark, new, target)
+    _delete(spark, old)
+
+
+def finish_replacing(spark: SparkSession, target: str) -> None:
+    """Brings a target into a whole state again: the old copy only steps aside for a
+    new one that is complete, so what is missing is made up from either."""
+    new, old = _beside(target)
+    if path_exists(spark, old) and not path_exists(spark, target):
+        move(spark, new if path_exists(spark, new) else old, target)
+    _delete(spark, old)
+    _delete(spark, new)
+
+
+def _beside(target: str) -> tuple[str, str]:
+    parent, _, name = target.rstrip("/").rpartition("/")
+    beside = f"{parent}/.{name}" if parent else f".{name}"
+    return f"{beside}.askframe-new", f"{beside}.askframe-old"
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    one, system = hadoop_path(spark, source)
+    if not system.rename(one, hadoop_path(spark, target)[0]):
+        raise OSError(f"cannot move {source!r} to {target!r}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    qualified, system = hadoop_path(spark, path)
+    system.delete(qualified, True)
 
 
 def _plain(path: str) -> str:

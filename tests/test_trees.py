@@ -1,0 +1,155 @@
+"""Trees after a backup run, against the same run done by hand, entry by entry."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from askframe.functions.paths import ancestors
+from askframe.operators.presence import check_presence
+from askframe.operators.trees import after_tree_backup, chain_flows, implied_directories
+from askframe.sources.manifest import SCHEMA, manifest_from_paths
+
+
+def copy(tree, source, target):
+    """Nested dicts are directories, everything else is content."""
+    if not isinstance(source, dict):
+        return source if not isinstance(target, dict) else target
+    if target is not None and not isinstance(target, dict):
+        return target
+    made = dict(target or {})
+    for name, entry in source.items():
+        made[name] = copy(tree, entry, made.get(name))
+    return made
+
+
+def run_by_hand(home):
+    """One run in a directory, as a loop over its names in order."""
+    home = dict(home)
+    for name in sorted(home, key=str.encode):
+        if name.startswith("."):
+            continue
+        source, target = home[name], home.get("backup_" + name)
+        if isinstance(target, dict):
+            target = dict(target)
+            target[name] = copy(home, source, target.get(name))
+            home["backup_" + name] = target
+        elif target is None or not isinstance(source, dict):
+            home["backup_" + name] = copy(home, source, None)
+    return home
+
+
+def flat(tree, above):
+    for name, entry in tree.items():
+        path = f"{above}/{name}" if above not in ("/", ".") else ("/" if above == "/" else "") + name
+        yield path, "dir" if isinstance(entry, dict) else "file", None if isinstance(entry, dict) else entry
+        if isinstance(entry, dict):
+            yield from flat(entry, path)
+
+
+def manifest(spark, *trees):
+    """Trees as (directory, tree); a file's content is its length."""
+    rows = [(path, kind, content) for home, tree in trees for path, kind, content in flat(tree, home)]
+    frame = spark.createDataFrame(rows, "path string, kind string, length long")
+    return manifest_from_paths(frame, kind="kind")
+
+
+def requests(spark, *dirs):
+    return spark.createDataFrame([(d,) for d in dirs], "dir string")
+
+
+def check(spark, *trees, asked=None, rerun=None):
+    before = manifest(spark, *trees)
+    found = after_tree_backup(requests(spark, *(asked or [home for home, _ in trees])), before, rerun=rerun)
+    assert found.columns == [field.split()[0] for field in SCHEMA.split(", ")] + ["origin"]
+    expected = sorted((path, kind, content) for home, tree in trees for path, kind, content in flat(run_by_hand(tree), home))
+    rows = found.collect()
+    assert sorted((r["path"], r["kind"], r["length"]) for r in rows) == sorted(expected, key=lambda r: r[:2])
+    lengths = {r["path"]: r["length"] for r in before.collect()}
+    assert all(r["length"] == lengths[r["origin"]] for r in rows)
+    assert all(r["parent"] + "/" + r["name"] == r["path"] for r in rows if "/" in r["path"][1:])
+    return found
+
+
+def test_first_run(spark):
+    tree = {"a": 1, ".hidden": 2, "d": {"x": 3, ".y": 4, "e": {"z": 5, "void": {}}}, "zoo": {}, ".dir": {"f": 6}}
+    check(spark, ("/home/me", tree), ("other", {"b": {"c": 7}}))
+    check(spark, ("/home/me", tree), rerun=False)
+    check(spark, ("/", {"d": {"x": 1}}))
+    check(spark, (".", {"d": {"x": 1}, "f": 2}))
+
+
+@pytest.mark.parametrize("root", ["a", "zoo"])
+def test_second_and_third_run(spark, root):
+    """The two branches of the order, with a directory, a file and a hidden entry."""
+    tree = {root: {"x": 1, "sub": {"y": 2}}, root + "_file": 3, ".h": 4, ".hd": {"q": 5}}
+    for _ in range(3):
+        check(spark, ("/home", tree), ("else/where", tree))
+        tree = run_by_hand(tree)
+
+
+def test_kinds_in_the_way(spark):
+    """Files where directories are to land and the other way round, at the top and below."""
+    check(
+        spark,
+        ("/h", {"d": {"x": 1}, "backup_d": 2, "f": 3, "backup_f": {"old": 4}, "zd": {"x": 5}, "backup_zd": 6, "zf": 7, "backup_zf": {"zf": {"in": 8}}}),
+        ("/i", {"d": {"x": {"deep": {"er": 1}}, "y": 2}, "backup_d": {"d": {"x": 3, "y": {"k": 4}, "only": 5}}}),
+        ("/j", {"a": {"m": {"n": 1}}, "backup_a": {"a": {"m": 2}}, "backup_backup_a": {"backup_a": {"a": {"m": {"o": 3}}}}}),
+    )
+
+
+def test_random_trees(spark):
+    rng = random.Random(4)
+
+    def tree(names, depth):
+        return {name: rng.randrange(10**6) if depth == 0 or rng.random() < 0.4 else tree(rng.sample(["x", "y", "a", "backup_a", "zz"], 2), depth - 1) for name in names}
+
+    names = ["a", "zz", "backup_a", "backup_zz", "backup_backup_a", "backup_backup_zz", "backup_backup_backup_a", ".p", "backup_.p"]
+    check(spark, *[(f"/h{i}", tree(rng.sample(names, rng.randrange(1, 7)), 3)) for i in range(150)])
+
+
+def test_hot_directory_and_salted_joins(spark, nothing_fits):
+    tree = {"big": {f"f{i}": i for i in range(300)}, "backup_big": {"f": 1}, **{f"s{i}": {"x": i} for i in range(40)}}
+    check(spark, ("/h", tree))
+
+
+def test_requests(spark):
+    """Unknown, missing, repeated, with slashes, and inside another one."""
+    tree = {"d": {"x": 1}, "f": 2}
+    found = after_tree_backup(requests(spark, "/h/", "/h", None, "/nope", "/h/d"), manifest(spark, ("/h", tree), ("/other", tree)))
+    assert sorted(r["path"] for r in found.collect()) == sorted(path for path, *_ in flat(run_by_hand(tree), "/h"))
+    assert after_tree_backup(requests(spark), manifest(spark, ("/h", tree))).collect() == []
+    assert after_tree_backup(requests(spark, "/h"), manifest(spark, ("/h", tree)).limit(0)).collect() == []
+
+
+def test_other_kinds_stay(spark):
+    rows = [("/h/d", "dir"), ("/h/d/link", "other"), ("/h/pipe", "other"), ("/h/f", "file"), ("/h/backup_f", "other")]
+    frame = manifest_from_paths(spark.createDataFrame(rows, "path string, kind string"), kind="kind")
+    found = {(r["path"], r["kind"]) for r in after_tree_backup(requests(spark, "/h"), frame).collect()}
+    assert found == {*rows, ("/h/backup_d", "dir"), ("/h/backup_d/link", "other")}
+
+
+def test_chain_flows():
+    assert chain_flows("a", {"a": "dir"}) == [("a", "backup_a", 1)]
+    flows = chain_flows("a", {"a": "dir", "backup_a": "dir"})
+    assert flows == [("a", "backup_a/a", 1), ("a", "backup_backup_a/a", 2), ("backup_a", "backup_backup_a", 1)]
+    assert chain_flows("z", {"z": "dir", "backup_z": "dir"}) == [("z", "backup_z/z", 1), ("backup_z", "backup_backup_z", 1)]
+
+
+def test_ancestors(spark):
+    paths = {"a/b/c": [".", "a", "a/b"], "/a/b": ["/", "/a"], "/": ["/"], "a": ["."], "a//b/": [".", "a"], "//x": ["/"], "": [], None: None}
+    rows = spark.createDataFrame([(p,) for p in paths], "path string").select("path", ancestors(F.col("path")).alias("above")).collect()
+    assert {r["path"]: r["above"] for r in rows} == paths
+
+
+def test_implied_directories(spark):
+    paths = ["/a/b/c.txt", "/a/b/d.txt", "/a/e", "x/y", "z", "/a/given/f"]
+    frame = spark.createDataFrame([(p, "file", 7) for p in paths] + [("/a/given", "dir", 1)], "path string, kind string, length long")
+    known = implied_directories(manifest_from_paths(frame, kind="kind"))
+    dirs = {r["path"]: (r["parent"], r["name"], r["length"]) for r in known.where("kind = 'dir'").collect()}
+    assert dirs == {"/": ("/", "/", 0), "/a": ("/", "a", 0), "/a/b": ("/a", "b", 0), "/a/given": ("/a", "given", 1), ".": (".", ".", 0), "x": (".", "x", 0)}
+    assert known.count() == 7 + 5 and known.columns == [field.split()[0] for field in SCHEMA.split(", ")]
+    asked = spark.createDataFrame([("/a/b",), ("/a/c",), ("x",)], "path string")
+    answers = check_presence(asked, known.where("kind = 'dir'"), "path").collect()
+    assert {r["path"]: r["present"] for r in answers} == {"/a/b": True, "/a/c": False, "x": True}
+    assert implied_directories(manifest_from_paths(frame).limit(0)).count() == 0
