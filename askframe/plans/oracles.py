@@ -17,6 +17,19 @@ parts AS (
     FROM pages_as_paths
 )"""
 
+# Directories and files below hosts, with the host, the entry directly below it, and the rest of the path.
+SITES = f"""
+{PAGES.strip()}, placed_pages AS (
+    SELECT DISTINCT split_part(path, '/', 1) AS home,
+           CASE WHEN page_id % 3 = 0 THEN CASE WHEN page_id % 2 = 1 THEN name ELSE 'x' || name END
+                ELSE CASE WHEN page_id % 2 = 1 THEN upper(split_part(path, '/', 2)) ELSE split_part(path, '/', 2) END END AS top,
+           CASE WHEN page_id % 3 = 0 THEN '' ELSE '/' || name END AS rest
+    FROM parts
+), sites AS (
+    SELECT home, top, rest, 'file' AS kind FROM placed_pages
+    UNION ALL SELECT DISTINCT home, top, '', 'dir' FROM placed_pages WHERE rest <> ''
+)"""
+
 FIXED_PATTERNS = "patterns(pattern) AS (VALUES " + ", ".join(f"('{p}')" for p in PATTERNS) + ")"
 
 GREETING = """
@@ -169,6 +182,39 @@ WITH checked AS (
 SELECT dir, CASE WHEN known THEN 'ok' ELSE 'not_found' END AS status,
        CASE WHEN NOT known THEN 'Директория не найдена!' END AS message
 FROM checked""",
+    "implied_tree": f"""
+WITH {PAGES}, split AS (SELECT path, string_split(path, '/') AS names FROM parts),
+above AS (
+    SELECT DISTINCT array_to_string(names[1:i], '/') AS path FROM split, unnest(range(1, len(names))) r(i)
+    UNION SELECT '.'
+)
+SELECT path, CASE WHEN contains(path, '/') THEN regexp_replace(path, '/[^/]*$', '') ELSE '.' END AS parent,
+       regexp_extract(path, '[^/]*$') AS name
+FROM above WHERE path NOT IN (SELECT path FROM parts)""",
+    "tree_backup": f"""
+WITH {SITES}
+SELECT home || '/' || top || rest AS path, kind, home || '/' || top || rest AS origin FROM sites
+UNION ALL SELECT home || '/backup_' || top || rest, kind, home || '/' || top || rest FROM sites""",
+    "tree_backup_second_run": f"""
+WITH {SITES}, placed AS (
+    SELECT *, home || '/' || top || rest AS own, home || '/backup_' || top || rest AS copy,
+           rest <> '' OR kind = 'dir' AS deep, top < 'backup_' || top AS early
+    FROM sites
+)
+SELECT own AS path, kind, own AS origin FROM placed
+UNION ALL SELECT copy, kind, CASE WHEN deep THEN copy ELSE own END FROM placed
+UNION ALL SELECT home || '/backup_' || top || '/' || top || rest, kind, own FROM placed WHERE deep
+UNION ALL SELECT home || '/backup_backup_' || top || rest, kind, CASE WHEN NOT deep AND early THEN own ELSE copy END FROM placed
+UNION ALL SELECT home || '/backup_backup_' || top || '/' || top || rest, kind, own FROM placed WHERE deep AND early""",
+    "file_backup": f"""
+WITH lines AS (SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents),
+shown AS (
+    SELECT lang AS part, count(*) AS lines, CAST(sum(('0x' || left(md5(line), 8))::BIGINT) AS BIGINT) AS checksum
+    FROM lines GROUP BY lang
+)
+SELECT place, part, lines, checksum
+FROM (SELECT * FROM shown UNION ALL SELECT '.hidden', CAST(sum({newlines('text')} + 1) AS BIGINT), NULL FROM documents),
+     (VALUES ('notes'), ('backup_notes'), ('backup_notes/notes'), ('backup_backup_notes')) p(place)""",
     "dataset_backup": """
 SELECT prefix || name AS dataset, s_suppkey, s_nationkey
 FROM supplier, (VALUES (''), ('backup_'), ('backup_backup_')) p(prefix), (VALUES ('Supplier'), ('supplier'), ('[Ss]upplier')) n(name)

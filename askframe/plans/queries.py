@@ -17,6 +17,8 @@ from askframe.operators.newlines import count_newlines, total_newlines
 from askframe.operators.presence import missing, present
 from askframe.operators.search import found_patterns, search
 from askframe.operators.snapshot import plan_snapshots, report_snapshots
+from askframe.operators.trees import after_tree_backup, implied_directories
+from askframe.sources.copies import back_up_directory
 from askframe.sources.datasets import (
     answer_dataset_backups,
     backup_datasets,
@@ -28,7 +30,7 @@ from askframe.sources.datasets import (
 from askframe.sources.manifest import files, list_tree, manifest_from_paths, visible_entries
 from askframe.sources.requests import read_requests, write_messages
 from askframe.sources.storage import literal_path, scratch_path
-from askframe.sources.text_files import answer_line_counts, count_files
+from askframe.sources.text_files import answer_line_counts, count_files, plain_path
 from askframe.streaming.answers import answer_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -330,6 +332,62 @@ def backup_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answer_backups(requests, directories)
 
 
+def implied_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The directories that page addresses lead through; the pages themselves are files."""
+    known = implied_directories(page_manifest(spark, sf_dir))
+    return known.where("kind = 'dir'").select("path", "parent", "name")
+
+
+def stored(table: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
+def site_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per host: directories and files directly below it, whose names sort before and behind the prefix."""
+    path, odd = F.col("path"), F.col("page_id") % 2 == 1
+    host, name, above = F.substring_index(path, "/", 1), base_name(path), base_name(dir_name(path))
+    flat = F.when(odd, name).otherwise(F.concat(F.lit("x"), name))
+    deep = F.concat_ws("/", F.when(odd, F.upper(above)).otherwise(above), name)
+    placed = F.concat_ws("/", host, F.when(F.col("page_id") % 3 == 0, flat).otherwise(deep))
+    paths = stored(page_paths(spark, sf_dir).select(placed.alias("path")).distinct(), "paths")
+    return stored(implied_directories(manifest_from_paths(paths)), "sites")
+
+
+def tree_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run in every host's directory, with all that lies below the copied entries."""
+    manifest = site_manifest(spark, sf_dir)
+    after = after_tree_backup(manifest.where("parent = '.' and name != '.'").select(F.col("path").alias("dir")), manifest)
+    return after.select("path", "kind", "origin")
+
+
+def tree_backup_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Again: copies of copies, and directories that land inside those of the first run."""
+    manifest = site_manifest(spark, sf_dir)
+    requests = manifest.where("parent = '.' and name != '.'").select(F.col("path").alias("dir"))
+    before = stored(after_tree_backup(requests, manifest).drop("origin"), "first-run")
+    return after_tree_backup(requests, before).select("path", "kind", "origin")
+
+
+def file_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A directory of text files, hidden ones inside it, backed up twice byte for byte: lines
+    and a checksum of them for every language in every place, newlines of the hidden files."""
+    home = scratch_path(spark, "home")
+    documents = table(spark, sf_dir, "documents")
+    documents.select("lang", "text").write.partitionBy("lang").text(f"{home}/notes", lineSep="\n")
+    documents.select("text").write.text(f"{home}/notes/.hidden", lineSep="\n")
+    for _ in range(2):
+        back_up_directory(spark, home)
+    place = F.regexp_extract("path", "/askframe-home-[0-9a-f]+/(.*)/[^/]*/[^/]*$", 1).alias("place")
+    lines = spark.read.option("recursiveFileLookup", "true").text(home, lineSep="\n")
+    lines = lines.select(plain_path(F.col("_metadata.file_path")).alias("path"), F.conv(F.left(F.md5("value"), F.lit(8)), 16, 10).cast("long").alias("mark"))
+    shown = lines.groupBy(place, F.regexp_extract("path", "/lang=([^/]*)/", 1).alias("part")).agg(F.count("*").alias("lines"), F.sum("mark").alias("checksum"))
+    hidden = count_files(spark, home).where("path like '%/.hidden/part-%'")
+    hidden = hidden.groupBy(place, F.lit(".hidden").alias("part")).agg(F.sum("newline_count").alias("lines"), F.lit(None).cast("long").alias("checksum"))
+    return shown.unionByName(hidden)
+
+
 def dataset_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three datasets after two runs: one is partitioned, one is called like a pattern."""
     home = scratch_path(spark, "home")
@@ -394,6 +452,10 @@ QUERIES: dict[str, Query] = {
         prefix_backup_second_run_lower,
         requested_backup,
         backup_answers,
+        implied_tree,
+        tree_backup,
+        tree_backup_second_run,
+        file_backup,
         dataset_backup,
         dataset_backup_answers,
     )
