@@ -9,10 +9,10 @@ names: one scan and one row per task to merge. More of them are joined:
 * patterns that begin or end with a small set, such as ``[0-4]??*``, by each of the
   set's characters in the same way;
 * patterns of ``?`` and ``*`` alone by the lengths of names;
-* what remains, patterns with no text and no small set at an end, by length: a name
-  meets those of its length class.
+* what remains, patterns with no text and no small set at an end, all at once by an
+  automaton that each name runs through (see ``operators.many_globs``).
 
-The plan has one size, however many patterns there are.
+The plan has one size, but for one more table per ``PATTERNS_AT_ONCE`` of the last kind.
 """
 
 from __future__ import annotations
@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 
 from askframe.functions.globs import END, START, is_pushable, matches, translate
 from askframe.functions.messages import FILE_FOUND, FILE_MISSING, fill
+from askframe.operators.many_globs import found_of_many
 from askframe.operators.presence import distinct_keys, fits_broadcast, lookup, mark_present, status_of
 from askframe.sources.storage import scratch_path, task_count
 
 ONE_SCAN = 64
 KINDS = ("start", "end", "inner")
 PATTERNS_PER_TASK = 20_000
-SALTS = 64
 
 
 def any_match(names: DataFrame, pattern: str, name: str = "name") -> bool:
@@ -89,7 +89,7 @@ def _match_in_one_scan(names: DataFrame, patterns: list[str]) -> DataFrame:
 
 DESCRIBED = (
     "pattern string, regex string, whole boolean, start string, end string, anchors array<string>, "
-    "either array<string>, least int, has_star boolean, only_length boolean"
+    "either array<string>, least int, has_star boolean, only_length boolean, items array<array<string>>"
 )
 
 
@@ -111,6 +111,7 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "least": [glob.least for glob in globs],
                 "has_star": [glob.has_star for glob in globs],
                 "only_length": [glob.only_length for glob in globs],
+                "items": [[[regex for regex, _, _ in run] for run in glob.runs] if not glob.anchors else None for glob in globs],
             }
         )
 
@@ -133,29 +134,19 @@ def _match_by_join(names: DataFrame, wanted: DataFrame) -> tuple[DataFrame, bool
     found = [_verified(names, keyed.where("kind != 'inner'"), small, partial(_cut_ends, sizes=sizes))]
     if sizes["inner"]:
         found.append(_verified(names, keyed.where("kind = 'inner'"), small, partial(_cut_inside, sizes=sizes["inner"])))
-    loose = described.where("size(anchors) = 0 and size(either) = 0").select("pattern", "regex", "least", "has_star", "only_length")
+    loose = described.where("size(anchors) = 0 and size(either) = 0").select("pattern", "items", "least", "has_star", "only_length")
     if not loose.isEmpty():
-        found += _match_by_length(names, loose)
+        found += _match_without_text(names, loose)
     return reduce(DataFrame.unionByName, found), fits_broadcast(described.select("pattern"))
 
 
-def _match_by_length(names: DataFrame, loose: DataFrame) -> list[DataFrame]:
-    """Patterns without text. Names have few different lengths; those are collected."""
+def _match_without_text(names: DataFrame, loose: DataFrame) -> list[DataFrame]:
+    """Patterns without text: by the lengths of names, which are few and collected, or all at once."""
     lengths = sorted(row["size"] for row in names.where("name is not null").select(F.length("name").alias("size")).distinct().collect())
     known = F.array(*map(F.lit, lengths)).cast("array<int>")
-    fitting = F.filter(known, lambda size: F.when(F.col("has_star"), size >= F.col("least")).otherwise(size == F.col("least")))
-    fitted = loose.withColumn("sizes", fitting).where("size(sizes) > 0")
-    by_size = fitted.where("not only_length").select("pattern", "regex", F.explode("sizes").alias("size"))
-    distinct = names.distinct().withColumn("size", F.length("name"))
-    if fits_broadcast(by_size):
-        candidates = distinct.join(F.broadcast(by_size), "size")
-    else:
-        # Few lengths: names are dealt out by a salt as well, patterns go to every salt.
-        salt = F.pmod(F.xxhash64("name"), F.lit(SALTS)).cast("int")
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        candidates = distinct.withColumn("salt", salt).join(by_size.withColumn("salt", salts), ["size", "salt"])
-    found = candidates.where(F.expr("name rlike regex")).select("pattern").distinct()
-    return [fitted.where("only_length").select("pattern"), found]
+    fitting = F.exists(known, lambda size: F.when(F.col("has_star"), size >= F.col("least")).otherwise(size == F.col("least")))
+    fitted = loose.where(fitting)
+    return [fitted.where("only_length").select("pattern"), *found_of_many(fitted.where("not only_length").select("pattern", "items"), names)]
 
 
 def _marked() -> Column:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from askframe.functions.messages import BACKUP_PREFIX
 from askframe.functions.paths import ancestors, base_name, clean_dir, dir_name, is_hidden
 from askframe.operators.presence import distinct_keys, lookup
+from askframe.sources.storage import stored
 
 FLOWS = "home string, name string, land string, distance int"
 
@@ -61,13 +62,15 @@ def after_tree_backup(requests: DataFrame, manifest: DataFrame, dir: str = "dir"
     by default that is looked up.
     """
     below = _below(requests, manifest, dir)
+    if rerun is None or rerun:
+        below = stored(below, "below")
     if rerun is None:
         rerun = not below.where(F.col("_name").startswith(BACKUP_PREFIX)).isEmpty()
     flown = _flown(below) if rerun else _first_flows(below)
     path = F.when(F.col("_flow.distance") == 0, F.col("path")).otherwise(F.concat("_home", "_slashes", "_flow.land", "_rest"))
     body = F.struct(*[F.col(c) for c in manifest.columns if c not in ("path", "parent", "name")], F.col("path").alias("origin"))
     landed = flown.select(path.alias("path"), F.col("_flow.distance").alias("distance"), "kind", body.alias("body"))
-    merged = _merged(landed) if rerun else landed
+    merged = _merged(stored(landed, "landed")) if rerun else landed
     columns = {"path": F.col("path"), "parent": dir_name(F.col("path")), "name": base_name(F.col("path"))}
     return merged.select(*[columns.get(c, F.col(f"body.{c}")).alias(c) for c in [*manifest.columns, "origin"]])
 

@@ -29,7 +29,7 @@ from askframe.sources.datasets import (
 )
 from askframe.sources.manifest import files, list_tree, manifest_from_paths, visible_entries
 from askframe.sources.requests import read_requests, write_messages
-from askframe.sources.storage import literal_path, scratch_path
+from askframe.sources.storage import literal_path, scratch_path, stored
 from askframe.sources.text_files import answer_line_counts, count_files, plain_path
 from askframe.streaming.answers import answer_stream
 
@@ -338,12 +338,6 @@ def implied_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.where("kind = 'dir'").select("path", "parent", "name")
 
 
-def stored(table: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(table.sparkSession, name)
-    table.write.parquet(path)
-    return table.sparkSession.read.schema(table.schema).parquet(path)
-
-
 def site_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per host: directories and files directly below it, whose names sort before and behind the prefix."""
     path, odd = F.col("path"), F.col("page_id") % 2 == 1

@@ -34,7 +34,7 @@ from askframe.functions.paths import backup_name, is_hidden
 from askframe.operators.presence import lookup, mark_present
 from askframe.operators.trees import after_tree_backup
 from askframe.sources.manifest import list_tree, local_path, open_storage
-from askframe.sources.storage import full_path, hadoop_path, path_exists, scratch_path, task_count
+from askframe.sources.storage import full_path, hadoop_path, path_exists, stored, task_count
 
 STAGE = ".askframe-run"
 PLAN, MARKER = "_plan", "_COMMITTED"
@@ -56,15 +56,15 @@ def back_up_directory(spark: SparkSession, directory: str) -> DataFrame:
         return spark.createDataFrame([(None, None, "not_found", BACKUP_DIR_MISSING)], ANSWERS)
     finish_run(spark, home)
     stage = f"{home}/{STAGE}"
-    before = list_tree(spark, home)
+    before = stored(list_tree(spark, home), "listed")
     listed = before.where("kind != 'error'")
     changed = _changed(spark, home, listed)
-    staged = _kept(_staged(changed, home, stage), "staged")
+    staged = stored(_staged(changed, home, stage), "staged")
     unread = before.where("kind = 'error'").groupBy(_top(home, "path").alias("from")).agg(F.min("error").alias("unread"))
     told = lookup(changed.join(staged, "path", "left").withColumn("from", _top(home, "origin")), unread, "from")
     wrong = F.when(F.col("unread").isNotNull(), F.col("unread")).otherwise(F.col("wrong"))
     targets = told.groupBy(_top(home, "path").alias("top")).agg(F.min(wrong).alias("wrong"))
-    targets = _kept(targets, "targets")
+    targets = stored(targets, "targets")
     _commit(spark, _moves(changed, listed, targets, home, stage), stage)
     finish_run(spark, home)
     entries = listed.where((F.col("parent") == home) & ~is_hidden(F.col("name")) & F.col("kind").isin("file", "dir"))
@@ -75,13 +75,6 @@ def back_up_directory(spark: SparkSession, directory: str) -> DataFrame:
     return answered.select("name", F.concat(F.lit(home + "/"), "top").alias("target"), status.alias("status"), message.alias("message"))
 
 
-def _kept(table: DataFrame, name: str) -> DataFrame:
-    """Made once: listings and copies are not repeated by those who read them."""
-    path = scratch_path(table.sparkSession, name)
-    table.write.parquet(path)
-    return table.sparkSession.read.schema(table.schema).parquet(path)
-
-
 def _top(home: str, path: str) -> Column:
     """The name of the entry of ``home`` that a path is or lies in."""
     return F.regexp_extract(F.substr(path, F.lit(len(home) + 1)), "^/+([^/]*)", 1)
@@ -91,7 +84,7 @@ def _changed(spark: SparkSession, home: str, listed: DataFrame) -> DataFrame:
     """What the run makes or replaces."""
     after = after_tree_backup(spark.createDataFrame([(home,)], "dir string"), listed)
     made = after.where((F.col("origin") != F.col("path")) & F.col("kind").isin("file", "dir"))
-    return _kept(made.select("path", "parent", "kind", "length", "origin"), "changed")
+    return stored(made.select("path", "parent", "kind", "length", "origin"), "changed")
 
 
 def _staged(changed: DataFrame, home: str, stage: str) -> DataFrame:
@@ -135,7 +128,7 @@ def finish_run(spark: SparkSession, directory: str) -> None:
     if path_exists(spark, f"{home}/{STAGE}/{MARKER}"):
         plan = spark.read.schema("staged string, path string").parquet(f"{home}/{STAGE}/{PLAN}")
         spread = plan.repartition(task_count(spark, plan.count(), MOVES_PER_TASK), "path")
-        wrong = _kept(spread.mapInPandas(_move, "path string, wrong string"), "moved").where("wrong is not null").limit(1).collect()
+        wrong = stored(spread.mapInPandas(_move, "path string, wrong string"), "moved").where("wrong is not null").limit(1).collect()
         if wrong:
             raise OSError(f"{wrong[0]['path']}: {wrong[0]['wrong']}; what is left to be moved is in {stage}")
     system.delete(stage, True)

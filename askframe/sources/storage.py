@@ -146,6 +146,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/askframe-{name}-{uuid4().hex}"
 
 
+def stored(table: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the scratch folder: for what is read several times."""
+    path = scratch_path(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def remove_scratch(spark: SparkSession) -> None:
     """Deletes everything that ``scratch_path`` has named, of other sessions too.
 

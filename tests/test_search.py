@@ -224,3 +224,59 @@ def test_selective_patterns_reach_the_scan(spark, tmp_path):
     plan = hits._jdf.queryExecution().toString()
     assert "StringStartsWith(name,b)" in plan and "EqualTo(name,a)" in plan
     assert sorted(row.pattern for row in hits.collect()) == ["a", "b*"]
+
+
+# Many patterns without text
+
+
+def many_without_text(rng, n):
+    items = ["?", "*", "[!a]", "[^b-d]", "[a-z]", "[[:digit:]]", "[[:alpha:]_]", "[ab]", "[!]x]", "[]a]", "[é漢-龥]", "[!😀]", "[[:upper:]]"]
+    return {"".join(["[!q]", *(rng.choice(items) for _ in range(rng.randrange(6))), "[!w]"][rng.randrange(2) :]) for _ in range(n)}
+
+
+@pytest.mark.parametrize("at_once", [10**6, 300])
+def test_many_patterns_without_text(spark, monkeypatch, at_once):
+    """Every pattern against every name, as the predicate for one pattern answers."""
+    from askframe.operators import many_globs
+
+    monkeypatch.setattr(many_globs, "PATTERNS_AT_ONCE", at_once)
+    rng = random.Random(9)
+    patterns = sorted(many_without_text(rng, 900))
+    names = ["".join(rng.choices("abcxyzé漢😀09_]-.A\n", k=rng.randrange(1, 8))) for _ in range(60)] + [""]
+    table = spark.createDataFrame([(n,) for n in names + names[:20] + [None]], "name string")
+    found = {r.pattern for r in found_patterns(spark.createDataFrame([(p,) for p in patterns], "pattern string"), table).collect()}
+    regexes = [(p, translate(p).regex) for p in patterns]
+    expected = spark.createDataFrame([(p, r, n) for p, r in regexes for n in names], "pattern string, regex string, name string")
+    assert found == {r.pattern for r in expected.where(F.expr("name rlike regex")).select("pattern").distinct().collect()}
+    assert 100 < len(found) < len(patterns)
+
+
+def test_work_per_name_does_not_grow_with_the_patterns():
+    """A step for each character that differs from the name before; none per pattern."""
+    from askframe.operators.many_globs import Globs
+
+    letters = "abcdefghij"
+    sets = [(f"[{letters[:i]}{letters[i + 1 :]}]", letters[:i] + letters[i + 1 :]) for i in range(10)]
+    names = sorted(f"{i:06d}".translate(str.maketrans("0123456789", letters)) for i in range(0, 10**6, 499))
+    steps = []
+    for n in (10, 10_000):
+        rng = random.Random(n)
+        # The last set is one that no name has a character of: nothing is found, nothing leaves.
+        patterns = [(str(i), [[rng.choice(sets)[0] for _ in range(5)] + ["[~]"]]) for i in range(n)]
+        globs = Globs(patterns, [*sets, ("[~]", "")], letters)
+        for name in names:
+            globs.read(name)
+        steps.append((len(globs.moves), len(globs.path), globs.take_found()))
+    assert steps[0] == steps[1] == (10, 7, [])
+
+
+def test_ten_thousand_patterns_on_names_of_one_length(spark):
+    """Half of them match; no plan of it joins names with patterns."""
+    digits = [(a, b) for a in range(10) for b in range(a, 10)]
+    patterns = [f"?[{a}-{b}][!{x}]?[{c}-{d}]?" for a, b in digits for c, d in digits for x in range(4)]
+    names = spark.range(20_000).select(F.lpad((F.col("id") * 37 % 1000).cast("string"), 6, "0").alias("name"))
+    wanted = spark.createDataFrame([(p,) for p in patterns], "pattern string")
+    found = found_patterns(wanted, names)
+    own = {f"{i:06d}" for i in range(1000)}
+    assert {r.pattern for r in found.collect()} == {p for p in patterns if any(map(re.compile(p.replace("?", ".").replace("[!", "[^")).fullmatch, own))}
+    assert len(patterns) > 10_000
