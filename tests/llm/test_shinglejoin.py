@@ -98,5 +98,32 @@ def test_similar_pairs_agree():
     base = rng.integers(0, 2**63, 100).astype(np.uint64)
     sets = [np.unique(np.concatenate([base[k:], rng.integers(0, 2**63, k).astype(np.uint64)])) for k in range(0, 30)]
     expected = [[i != j and len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)) for j, b in enumerate(sets)] for i, a in enumerate(sets)]
-    assert (shinglejoin.similar_pairs(sets, 0.8) == np.array(expected)).all()
-    assert (shinglejoin.similar_pairs(sets[:9], 0.8) == np.array(expected)[:9, :9]).all()
+    expected = np.array(expected)
+    for n in (30, 9):
+        found = shinglejoin.similar_pairs(sets[:n], sets[:n], 0.8)
+        np.fill_diagonal(found, False)
+        assert (found == expected[:n, :n]).all()
+        found = shinglejoin.similar_pairs(some := sets[:n], some, 0.8)
+        np.fill_diagonal(found, False)
+        assert (found == expected[:n, :n]).all()
+    assert (shinglejoin.similar_pairs(sets[:13], sets[13:], 0.8) == expected[:13, 13:]).all()
+    far = [np.arange(i * 100, i * 100 + 50, dtype=np.uint64) for i in range(20)]
+    assert not shinglejoin.similar_pairs(far[:13], far[13:], 0.8).any()
+    assert not np.triu(shinglejoin.similar_pairs(far, far, 0.8), 1).any()
+
+
+@pytest.mark.parametrize("bytes_held", [1 << 20, 3000])
+def test_blocks_by_bytes(spark, documents, monkeypatch, bytes_held):
+    """One bucket of long texts is cut by what they hold; a star, and a chain of ever more changed copies."""
+    monkeypatch.setattr(shinglejoin, "HELD", bytes_held)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(300)]
+    star = []
+    for i in range(60):
+        text = list(base)
+        at = rng.randrange(0, 295)
+        text[at : at + 5] = [f"s{i}_{j}" for j in range(5)]
+        star.append((i, " ".join(text)))
+    chain = [(100 + i, " ".join([f"c{j}" for j in range(i * 6, 120 + i * 6)])) for i in range(30)]
+    docs = [(99, " ".join(base)), *star, *chain]
+    assert result(shinglejoin.joined(documents(*docs))) == by_hand(docs)
