@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from askframe.llm.common import words, written
+from askframe.llm.common import slices, words, written
 from askframe.llm.components import components
 from askframe.operators.presence import lookup
 
@@ -42,7 +42,9 @@ BLOCK = 2048  # sets, and
 HELD = 16 << 20  # bytes of their shingles, that a block has about; a task holds two blocks
 COLUMNS = 2048  # shingles whose sets are told by a table at once
 MISS = 1e-3
-CHUNK = 1 << 18  # words whose shingles are held at once
+CHUNK = 1 << 17  # words whose shingles are held at once
+ROWS = 512  # texts that are handed on at once
+SLICE = 4 << 20  # bytes of shingles that are taken out of a batch at once
 
 NODE = np.random.default_rng(11).integers(1, 2**63, COORDINATES, dtype=np.uint64)
 TIMES = np.random.default_rng(12).integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -114,7 +116,7 @@ def _parts(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (whole.slice(first, ROWS) for whole in batches for first in range(0, whole.num_rows, ROWS)):
         found = [row.tobytes() for part in in_chunks(*_parts(batch, "hashed")) for row in minima(*part)]
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "embedded"])
 
@@ -189,7 +191,7 @@ def _wanted_sets(texts: DataFrame, buckets: DataFrame) -> DataFrame:
     rows = _hashed(lookup(texts, of, "node").where("paths is not null")).dropDuplicates(["node"])
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(first, ROWS) for whole in batches for first in range(0, whole.num_rows, ROWS)):
             parts = in_chunks(*_parts(batch, "hashed"))
             sets = [np.unique(part[a:b]).tobytes() for part, starts in parts for a, b in zip(starts[:-1], starts[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary()), batch.column("paths")], ["node", "shingles", "paths"])
@@ -296,7 +298,7 @@ def _cells(similar: float):
         def flush():
             return pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in out], ["u", "v", "links"])
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "shingles", SLICE)):
             names = ("path", "one", "other", "node", "block", "shingles", "paths")
             for row in zip(*[batch.column(name).to_pylist() for name in names]):
                 if row[:3] != now:

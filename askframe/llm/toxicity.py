@@ -11,7 +11,7 @@ documents not yet explained, and hardly in clean ones, explains these, and so on
 machine is trained on witnesses, as they are and with a character put in, against
 words of clean sentences, in the feature space that Nyström's method spans from a
 bounded number of landmark words; clean words that come too near are added, toxic
-documents that lack a witness give their best word, and it is trained again. As features are linear in the kernel, the trained machine is at
+documents that lack a witness give their best word if it lies beyond the machine's margin, and it is trained again. As features are linear in the kernel, the trained machine is at
 last one weight per triple of characters, a table of fixed size: a word costs a few
 look-ups, whatever the number of landmarks.
 
@@ -48,8 +48,9 @@ LONGEST, STEP = 20, 10  # characters of a piece of a long word, and from piece t
 WITNESSES = 400
 NEGATIVES = 8_000
 ROUNDS = 4
-CACHE = 200_000  # margins of words that a task remembers
-SLICE = 4 << 20  # bytes of text whose words it holds at once
+SURE = 1.0  # margin of a word that stands in for a witness: labels may be wrong
+CACHE = 120_000  # margins of words that a task remembers
+SLICE = 1 << 20  # bytes of text whose words it holds at once
 CODES = 64
 BEGIN, END = 27, 28
 TRIPLES = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
@@ -250,7 +251,7 @@ def fit(toxic: list[set[str]], clean: list[set[str]], totals: tuple[int, int]) -
                 if not any(word in positive for word in words):
                     own = sorted(word for word in words if word not in seen)
                     found = machine.margins(own)
-                    if len(own) and found.max() > 0:
+                    if len(own) and found.max() > SURE:
                         positive[own[int(found.argmax())]] += 1
         ranked = [word for word, _ in positive.most_common(LANDMARKS // 2)]
         others = hard[: LANDMARKS // 4] + [often[i] for i in range(min(len(often), LANDMARKS // 2))]
