@@ -38,13 +38,22 @@ def lookup(left: DataFrame, right: DataFrame, key: str, small: bool | None = Non
     # exchanges, and a right side that comes out of an aggregation is none.
     # So rows of hot keys, and rows without a key, which match nothing, are dealt
     # out by a salt as well, and the few hot rows on the right go to every salt.
-    hot = left.sparkSession.createDataFrame([(k,) for k in hot_keys(left, key)], left.select(key).schema)
-    marked = left.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(SALTS)).cast("int")
-    salted = marked.withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(0)).drop("_hot")
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    copies = right.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left").withColumn("_salt", F.explode(salts))
-    return salted.join(copies.drop("_hot"), [key, "_salt"], "left").drop("_salt")
+    salt, is_hot = unused("salt", left, right), unused("hot", left, right)
+    keys = left.sparkSession.createDataFrame([(k,) for k in hot_keys(left, key)], left.select(key).schema)
+    hot = F.broadcast(keys.withColumn(is_hot, F.lit(True)))
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in left.columns]), F.lit(SALTS)).cast("int")
+    salted = left.join(hot, key, "left").withColumn(salt, F.when(F.col(is_hot) | F.col(key).isNull(), spread).otherwise(0)).drop(is_hot)
+    salts = F.when(F.col(is_hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copies = right.join(hot, key, "left").withColumn(salt, F.explode(salts)).drop(is_hot)
+    return salted.join(copies, [key, salt], "left").drop(salt)
+
+
+def unused(name: str, *tables: DataFrame) -> str:
+    """The name of a column for a while, none that the tables have; case does not tell names apart."""
+    taken = {c.lower() for table in tables for c in table.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 def hot_keys(table: DataFrame, key: str) -> list:
