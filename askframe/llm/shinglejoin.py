@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from askframe.llm.common import slices, words, written
 from askframe.llm.components import components
-from askframe.operators.presence import lookup
+from askframe.operators.presence import lookup, unused
 
 SIMILAR = 0.8
 SHINGLE = 5
@@ -367,9 +367,9 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: fl
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
     """One row of each class: the least key's (null last), of equal ones any that is equal in all columns but these."""
+    node, first, copies = (unused(name, docs) for name in ("node", "first", "copies"))
     known = written(classes(docs, key, text, similar), "classes")
-    kept = known.where(F.col("node") == F.col("class_node")).select(F.col("node").alias("_node"), F.col("first_key").alias("_first"), "copies")
-    marked = docs.withColumn("_node", node_of(F.col(text)))
-    found = lookup(marked, kept.withColumnRenamed("copies", "_copies"), "_node").where(F.col("_copies").isNotNull() & F.col(key).eqNullSafe(F.col("_first")))
-    single, repeated = found.where("_copies = 1"), found.where("_copies > 1").dropDuplicates(["_node"])
-    return single.unionByName(repeated).select(*docs.columns)
+    kept = known.where(F.col("node") == F.col("class_node")).select(F.col("node").alias(node), F.col("first_key").alias(first), F.col("copies").alias(copies))
+    found = lookup(docs.withColumn(node, node_of(F.col(text))), kept, node).where(F.col(copies).isNotNull() & F.col(key).eqNullSafe(F.col(first)))
+    single, repeated = found.where(F.col(copies) == 1), found.where(F.col(copies) > 1).dropDuplicates([node])
+    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])

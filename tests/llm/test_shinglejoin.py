@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from askframe.llm import shinglejoin
 from askframe.llm.queries import op4_shinglejoin
@@ -127,3 +128,13 @@ def test_blocks_by_bytes(spark, documents, monkeypatch, bytes_held):
     chain = [(100 + i, " ".join([f"c{j}" for j in range(i * 6, 120 + i * 6)])) for i in range(30)]
     docs = [(99, " ".join(base)), *star, *chain]
     assert result(shinglejoin.joined(documents(*docs))) == by_hand(docs)
+
+
+@pytest.mark.parametrize("bounds", ["small", "salted"])
+def test_columns_named_like_those_in_between(documents, bounds, request):
+    if bounds == "salted":
+        request.getfixturevalue("small_bounds_off")
+    names = ["node", "_node", "first", "_first", "copies", "_copies", "salt", "hot", "path", "links", "root", "body"]
+    docs = documents((1, "a b c d e f"), (2, "a b c d e f"), (3, "x")).withColumns({c: F.lit(f"my {c}") for c in names})
+    found = shinglejoin.one_of_each(docs).collect()
+    assert sorted(r.doc_id for r in found) == [1, 3] and all(r[c] == f"my {c}" for r in found for c in names)
