@@ -145,9 +145,11 @@ def _set_out(similar: float, runs: int):
 
 def _go_on(similar: float):
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, paths = children(batch.column("path").to_numpy().view(np.uint64), _embedded(batch), similar)
-            yield _paths_of(batch.column("node").to_numpy()[row], paths)
+        for batch in (whole.slice(first, ROWS) for whole in batches for first in range(0, whole.num_rows, ROWS)):
+            paths, starts = _parts(batch, "paths")
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(starts))
+            row, paths = children(paths.view(np.uint64), _embedded(batch)[owner], similar)
+            yield _paths_of(batch.column("node").to_numpy()[owner[row]], paths)
 
     return walk
 
@@ -164,10 +166,12 @@ def _buckets(embedded: DataFrame, similar: float) -> DataFrame:
             found.append(rows.drop("n"))
             break
         found.append(rows.where(F.col("n") <= SMALL).drop("n"))
-        large = written(rows.where(F.col("n") > SMALL).drop("n"), "large")
-        if large.isEmpty():
+        # A set meets its embedding once, on however many paths it goes on.
+        split = rows.where(F.col("n") > SMALL).groupBy("node").agg(F.collect_list("path").alias("paths"))
+        split = written(split, "split")
+        if split.isEmpty():
             break
-        paths = written(large.join(embedded, "node").mapInArrow(_go_on(similar), "node long, path long").distinct(), "paths")
+        paths = written(split.join(embedded, "node").mapInArrow(_go_on(similar), "node long, path long").distinct(), "paths")
     buckets = found[0]
     for more in found[1:]:
         buckets = buckets.unionByName(more)
@@ -318,17 +322,17 @@ def _cells(similar: float):
     return walk
 
 
-def _links(buckets: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
-    placed = buckets.join(sets.select("node", F.length("shingles").alias("size")), "node")
-    held = placed.groupBy("path").agg(F.sum("size").alias("held"))
-    large = written(held.where(F.col("held") > HELD), "large")
-    counted = lookup(buckets, large, "path")
-    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.coalesce("held", F.lit(0)) / HELD)).cast("int")
-    block = F.pmod(F.xxhash64("node", "path"), F.col("blocks")).cast("int")
-    placed = counted.withColumn("blocks", blocks).withColumn("block", block)
+def _links(sets: DataFrame, similar: float) -> DataFrame:
+    """The sets bring their buckets along, so none is joined to them: only the few buckets
+    of several blocks are looked up."""
+    held = sets.select(F.explode("paths").alias("path"), F.length("shingles").alias("size")).groupBy("path").agg(F.count("*").alias("n"), F.sum("size").alias("held"))
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("held") / HELD)).cast("int")
+    large = written(held.select("path", blocks.alias("blocks")).where("blocks > 1"), "large")
+    placed = lookup(sets.select("node", "shingles", "paths", F.explode("paths").alias("path")), large, "path")
+    placed = placed.withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node", "path"), F.col("blocks")).cast("int"))
     dealt = placed.withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = dealt.select("path", F.least("block", "meets").alias("one"), F.greatest("block", "meets").alias("other"), "block", "node")
-    rows = cells.join(sets, "node").select("path", "one", "other", "node", "block", "shingles", "paths")
+    rows = dealt.select("path", F.least("block", "meets").alias("one"), F.greatest("block", "meets").alias("other"), "node", "block", "shingles", "paths")
     tasks = max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = rows.repartition(tasks, "path", "one", "other").sortWithinPartitions("path", "one", "other")
     return ordered.mapInArrow(_cells(similar), "u long, v long, links long")
@@ -346,7 +350,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: f
     embedded = _hashed(texts).mapInArrow(_embed, "node long, embedded binary")
     embedded = written(embedded.groupBy("node").agg(F.first("embedded").alias("embedded")), "embedded")
     buckets = _buckets(embedded, similar)
-    links = written(_links(buckets, _wanted_sets(texts, buckets), similar), "links")
+    links = written(_links(_wanted_sets(texts, buckets), similar), "links")
     roots = components(links.where("v is not null").select("u", "v"))
     counts = links.where("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
     copies = docs.groupBy(node_of(F.col(text)).alias("node")).agg(F.count("*").alias("copies"), F.min(key).alias("first_key"))

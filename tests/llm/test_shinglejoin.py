@@ -138,3 +138,28 @@ def test_columns_named_like_those_in_between(documents, bounds, request):
     docs = documents((1, "a b c d e f"), (2, "a b c d e f"), (3, "x")).withColumns({c: F.lit(f"my {c}") for c in names})
     found = shinglejoin.one_of_each(docs).collect()
     assert sorted(r.doc_id for r in found) == [1, 3] and all(r[c] == f"my {c}" for r in found for c in names)
+
+
+def test_sets_of_a_large_group_meet_tables_once(spark, documents, monkeypatch):
+    """Near copies share many large buckets; no step joins a set to its own data per bucket."""
+    monkeypatch.setattr(shinglejoin, "SMALL", 20)
+    rng = random.Random(8)
+    docs = []
+    for i in range(120):
+        text = [f"w{j}" for j in range(200)]
+        text[rng.randrange(200)] = f"x{i}"
+        docs.append((i, " ".join(text)))
+    joins, mapped, written = [], [], shinglejoin.written
+
+    def counted(frame, name):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        joins.extend(line for line in plan.splitlines() if "Join Inner, (node#" in line and "Hint" not in line)
+        found = written(frame, name)
+        if name in ("split", "large") and "node" in found.columns:
+            mapped.append((found.count(), found.select("node").distinct().count()))
+        return found
+
+    monkeypatch.setattr(shinglejoin, "written", counted)
+    assert result(shinglejoin.joined(documents(*docs))) == by_hand(docs)
+    assert mapped and all(rows == nodes for rows, nodes in mapped)
+    assert 0 < len(joins) <= shinglejoin.DEPTH - shinglejoin.START  # one per level; the comparison has none
