@@ -375,8 +375,11 @@ def file_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
         back_up_directory(spark, home)
     place = F.regexp_extract("path", "/askframe-home-[0-9a-f]+/(.*)/[^/]*/[^/]*$", 1).alias("place")
     lines = spark.read.option("recursiveFileLookup", "true").text(home, lineSep="\n")
-    lines = lines.select(plain_path(F.col("_metadata.file_path")).alias("path"), F.conv(F.left(F.md5("value"), F.lit(8)), 16, 10).cast("long").alias("mark"))
-    shown = lines.groupBy(place, F.regexp_extract("path", "/lang=([^/]*)/", 1).alias("part")).agg(F.count("*").alias("lines"), F.sum("mark").alias("checksum"))
+    lines = lines.select("_metadata.file_path", F.conv(F.left(F.md5("value"), F.lit(8)), 16, 10).cast("long").alias("mark"))
+    # Paths are taken apart once per file, not per line.
+    by_file = lines.groupBy("file_path").agg(F.count("*").alias("lines"), F.sum("mark").alias("checksum"))
+    shown = by_file.select(plain_path(F.col("file_path")).alias("path"), "lines", "checksum")
+    shown = shown.groupBy(place, F.regexp_extract("path", "/lang=([^/]*)/", 1).alias("part")).agg(F.sum("lines").alias("lines"), F.sum("checksum").alias("checksum"))
     hidden = count_files(spark, home).where("path like '%/.hidden/part-%'")
     hidden = hidden.groupBy(place, F.lit(".hidden").alias("part")).agg(F.sum("newline_count").alias("lines"), F.lit(None).cast("long").alias("checksum"))
     return shown.unionByName(hidden)

@@ -7,6 +7,7 @@ ranges. A file of any size is spread over many tasks either way.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -42,13 +43,15 @@ def count_by_lines(spark: SparkSession, root: str) -> DataFrame:
     more if one is; and three less in either case if the reader dropped a byte
     order mark. These four values differ.
     """
+    scheme = re.match("[a-z0-9+.-]+:(//[^/]*)?", full_path(spark, root))[0]
+    behind = F.substr("file_path", F.lit(len(scheme) + 1))
     lines = (
         spark.read.option("lineSep", "\n")
         .option("recursiveFileLookup", "true")
         .text(literal_path(root))
         .select("_metadata.file_path", "_metadata.file_size", (F.octet_length("value") + 1).alias("bytes"))
-        # Constant per file, so these files are not even opened.
-        .where(~_is_packed(F.col("file_path")) & ~_behind_the_root(F.col("file_path")).rlike(":|%3A"))
+        # Constant per file, so these files are not even opened; but tested again for every line.
+        .where(~_is_packed(F.col("file_path")) & ~behind.contains(":") & ~behind.contains("%3A"))
     )
     surplus = F.sum("bytes") - F.col("file_size")
     return (
@@ -58,10 +61,6 @@ def count_by_lines(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _behind_the_root(file_path: Column) -> Column:
-    return F.regexp_replace(file_path, "^[a-z0-9+.-]+:(//[^/]*)?", "")
-
-
 def count_by_ranges(manifest: DataFrame) -> DataFrame:
     """``path, newline_count`` of any files, read as raw bytes in ranges.
 

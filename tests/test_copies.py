@@ -8,6 +8,7 @@ import pytest
 from askframe.sources import copies, storage
 from askframe.sources.copies import back_up_directory, copy_stream, finish_run, move_into_place
 from askframe.sources.datasets import copy_dataset
+from askframe.sources.text_files import count_by_lines
 from test_trees import run_by_hand
 
 
@@ -192,3 +193,32 @@ def test_a_replacement_that_was_cut_off(spark, tmp_path, ended):
     assert spark.read.parquet(target).count() == expected and [p.name for p in tmp_path.iterdir()] == ["t"]
     storage.replace_whole(spark, target, lambda path: spark.range(3).write.parquet(path))
     assert spark.read.parquet(target).count() == 3 and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_paths_are_not_taken_apart_for_every_line(spark, tmp_path):
+    """Regular expressions on a file's path run once per file, behind the aggregation."""
+    (tmp_path / "a.txt").write_bytes(b"1\n2\n3")
+    (tmp_path / "b:c.txt").write_bytes(b"1\n")
+    counted = count_by_lines(spark, str(tmp_path))
+    plan = counted._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = plan[next(i for i, line in enumerate(plan) if "Aggregate" in line) + 1 :]
+    assert below and not any(word in line.lower() for line in below for word in ("regexp", "rlike"))
+    assert [(r.path.rsplit("/", 1)[1], r.newline_count) for r in counted.collect()] == [("a.txt", 2)]
+
+
+@pytest.mark.parametrize("kernel", [True, False])
+def test_ranges_are_copied_with_and_without_the_kernel(tmp_path, monkeypatch, kernel):
+    def refused(*_):
+        raise OSError(95, "not supported")
+
+    if not kernel:
+        monkeypatch.setattr(os, "copy_file_range", refused)
+    monkeypatch.setattr(copies, "RANGE_BYTES", 1000)
+    body = bytes(range(256)) * 11
+    (tmp_path / "one").write_bytes(body)
+    assert (copies._copy_in_kernel(os.open(tmp_path / "one", os.O_RDONLY), os.open(tmp_path / "by", os.O_CREAT | os.O_WRONLY), 0, 5) == 5) == kernel
+    for start in (2000, 0, 1000):
+        copies.copy_range(f"file:{tmp_path}/one", f"file:{tmp_path}/two", start, len(body))
+    assert (tmp_path / "two").read_bytes() == body
+    with pytest.raises(OSError, match="changed"):
+        copies.copy_range(f"file:{tmp_path}/one", f"file:{tmp_path}/two", 2000, len(body) - 1)
