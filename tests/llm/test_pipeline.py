@@ -10,7 +10,7 @@ from askframe.llm.queries import QUERIES
 def test_all_are_registered():
     assert {**QUERIES, "pipeline": corpus_pipeline.run}.items() <= driver.queries().items()
     assert ORACLES.items() <= driver.oracle_sql().items()
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark, sf_dir):
@@ -47,7 +47,8 @@ def test_all_stay_where_toxicity_cannot_be_learnt(spark, documents, tables, know
 def test_sql(spark, sf_dir):
     duckdb = pytest.importorskip("duckdb")
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for name in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     for name, sql in ORACLES.items():
         result = QUERIES[name](spark, sf_dir)
         columns = sorted(result.columns)
