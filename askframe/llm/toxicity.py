@@ -295,22 +295,23 @@ def train(documents: DataFrame, labels: DataFrame, learn: Column, label: str = "
 def score(documents: DataFrame, model: Machine | float, text: str = "text", name: str = "score") -> DataFrame:
     """Every row plus the probability that it is toxic; a column of that name is replaced."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in documents.columns if c not in (name, "_body")]
-    columns = [F.col(f"`{c}`") for c in kept]
+    columns = [F.col(f"`{c}`") for c in documents.columns if c != name]
     schema = documents.select(*columns).schema.add(name, "double")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, margin = shared.value, {}
-        for batch in (part for whole in batches for part in slices(whole, "_body", SLICE)):
+        for batch in (part for whole in batches for part in slices(whole, text, SLICE)):
             if isinstance(model, float):
                 values = np.full(batch.num_rows, model)
             else:
-                found = [words_of((body.as_py() or b"").decode("utf-8", "replace")) for body in batch.column("_body")]
+                # The text itself, seen as bytes: a second column of them would double the batches outside the heap.
+                bodies = batch.column(text).cast(pa.binary())
+                found = [words_of((body.as_py() or b"").decode("utf-8", "replace")) for body in bodies]
                 new = list(set().union(*found) - margin.keys())
                 margin.update(zip(new, model.margins(new)))
                 values = model.score(np.array([features(np.array([margin[word] for word in words])) for words in found]))
                 if len(margin) > CACHE:
                     margin.clear()
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(values, pa.float64())], [*kept, name])
+            yield batch.append_column(name, pa.array(values, pa.float64()))
 
-    return documents.select(*columns, F.col(text).cast("binary").alias("_body")).mapInArrow(scored, schema)
+    return documents.select(*columns).mapInArrow(scored, schema)

@@ -97,6 +97,17 @@ def test_odd_rows(spark, documents, operator, label):
     assert operator.train(docs.limit(0), labels, F.lit(True)) == 0.5
 
 
+def test_toxicity_sends_a_text_to_its_tasks_once(spark, documents):
+    # A second column of the text as bytes doubled the batches; a column of that name was lost.
+    docs = documents((1, "a"), (2, None), (3, "\u00e9 \U0001f600")).withColumn("_body", F.lit("mine"))
+    scored = toxicity.score(docs, toxicity.Machine(np.zeros(toxicity.CODES**3), -1.0))
+    assert scored.columns == [*docs.columns, "score"]
+    assert "cast(text" not in scored._jdf.queryExecution().analyzed().toString()
+    found = sorted(scored.collect(), key=lambda r: r.doc_id)
+    assert [r[:-1] for r in found] == [tuple(r) for r in docs.orderBy("doc_id").collect()]
+    assert found[0].score == pytest.approx(1 / (1 + np.e)) and found[1].score == pytest.approx(1 / (1 + np.e**2))
+
+
 def test_quality_of_made_texts(spark, documents):
     rng = np.random.default_rng(1)
 
