@@ -1,0 +1,36 @@
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from askframe.llm import common
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    """Not when the driver happens to collect its garbage; the caller's own setting stays."""
+    before, setting = shuffle_files(spark), spark.conf.get(common.CLEANUP)
+    frame = spark.range(20_000).groupBy((F.col("id") % 1000).alias("k")).agg(F.count("*").alias("n"))
+    found = common.written(frame, "summed")
+    for _ in range(100):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(common.CLEANUP) == setting
+    assert found.agg(F.count("*"), F.sum("n")).first()[:] == (1000, 20_000)
+    assert frame.agg(F.sum("n")).first()[0] == 20_000  # the frame itself can be used again
+
+
+def test_drop_deletes_tables_of_written_alone(spark, tmp_path):
+    own = str(tmp_path / "askframe-own")
+    spark.range(3).write.parquet(own)
+    one, other, kept = (common.written(spark.range(i), "some") for i in (1, 2, 3))
+    common.drop(one.union(other).union(spark.read.parquet(own)))
+    assert kept.count() == 3 and spark.read.parquet(own).count() == 3
+    for gone in (one, other):
+        with pytest.raises(Exception, match="askframe-some"):
+            gone.collect()
