@@ -177,3 +177,25 @@ def test_rare_token_leaves_a_text_once(spark, documents, monkeypatch):
     first = held["encoded"].where("doc_id = 1").first()
     assert {bytes(x["token"]): x["times"] for x in first.rare} | {b"old": 1, b"": 1} == {b"new": 3, b"old": 1, b"": 1}
     assert sorted((r.doc_id, r.n_tokens, r.n_known) for r in found) == [(1, 5, 2), (2, 51, 51), (3, 2, 1)]
+
+
+@pytest.mark.parametrize("part", [500, 2_000, 10**6])
+def test_every_round_takes_every_training_document(spark, documents, monkeypatch, part):
+    """In a large corpus, of many parts, as in a small one, of one part."""
+    monkeypatch.setattr(lm, "FEW", 10, raising=False)  # tokens beyond which a document was once in one round alone
+    monkeypatch.setattr(lm, "PART", part)
+    learnt, parts, written = [], [], lm.written
+
+    def counted(frame, name):
+        found = written(frame, name)
+        if "weights" in found.columns:
+            rows = found.where("block = 0").collect()
+            learnt.append(sum(row.tokens for row in rows))
+            parts.append(len(rows))
+        return found
+
+    monkeypatch.setattr(lm, "written", counted)
+    docs = documents(*[(i, " ".join(f"w{i * j % 97}" for j in range(i % 40))) for i in range(400)])
+    total = {r.train_tokens for r in lm.score(docs, F.col("doc_id") % 7 != 2).collect()}
+    assert len(total) == 1 and learnt == [*total] * lm.ROUNDS and lm.ROUNDS > 1
+    assert all((n > 1) == (part < 10**6) for n in parts)
